@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mainbody, textform
+from . import mainbody, mojibake, repeated, textform
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,38 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles and leads that were decoded wrongly."""
+    return mojibake.find_garbled(_table(spark, sf_dir, "news_articles"), "row_id", ["title", "lead"]).select("row_id", "field_name")
+
+
+def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same values with their original text, null where bytes were lost."""
+    return mojibake.find_garbled(_table(spark, sf_dir, "news_articles"), "row_id", ["title", "lead"])
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are excessive within their source."""
+    return repeated.repeated_lines(_table(spark, sf_dir, "news_articles"), "row_id", "source", "body")
+
+
+P4_SQL = """
+WITH l AS (
+  SELECT row_id, source, unnest(string_split(body, chr(10))) AS x, generate_subscripts(string_split(body, chr(10)), 1) AS line_no
+  FROM news_articles WHERE body IS NOT NULL
+), f AS (
+  SELECT row_id, source, line_no,
+         regexp_replace(trim(regexp_replace(lower(x), '[\\s\\x1c-\\x1f\\x85\\p{Z}]+', ' ', 'g')), '[0-9]+', '0', 'g') AS form
+  FROM l
+), n AS (SELECT source, count(*) AS total FROM news_articles GROUP BY source),
+c AS (SELECT source, form, count(DISTINCT row_id) AS c FROM f WHERE form <> '' GROUP BY source, form)
+SELECT f.row_id, CAST(f.line_no AS INT) AS line_no
+FROM f JOIN c ON f.source IS NOT DISTINCT FROM c.source AND f.form = c.form
+       JOIN n ON f.source IS NOT DISTINCT FROM n.source
+WHERE c.c >= 4 AND c.c >= 0.05 * n.total
+"""
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of objective_records that differ from their consistent form."""
     return textform.find_inconsistent(_table(spark, sf_dir, "objective_records"), "row_id", ["title", "raw_text", "company_name"])
@@ -30,7 +62,12 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p3_found": p3_found,
+    "p3_restored": p3_restored,
+    "p4_found": p4_found,
     "p7_found": p7_found,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "p4_found": P4_SQL,
+}
