@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mainbody, mojibake, repeated, textform
+from ..functions.instants import with_readings
+from . import mainbody, mojibake, repeated, survivors, textform
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,66 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+P2_FIELDS = ["title", "company_code", "company_name", "publish_time", "category", "attachment_urls"]
+
+
+def _record_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long rows of the records that form groups: same checksum, visible text."""
+    rules = _table(spark, sf_dir, "source_registry").select("source", F.col("time_zone").alias("__zone"), F.col("date_order").alias("__order"))
+    df = _table(spark, sf_dir, "objective_records").where(survivors.not_blank(F.col("checksum")) & survivors.visible(F.col("raw_text")))
+    df = df.select("row_id", "checksum", "source", "source_tier", "crawl_time", *P2_FIELDS).join(rules, "source", "left")
+    df = with_readings(df, F.col("publish_time"), F.coalesce("__zone", F.lit("UTC")), "__times")
+    timed = F.exists("__times", lambda x: F.col("__order").isNull() | (x["form"] == "fixed") | (x["form"] == F.col("__order")))
+    urls = survivors.url_count(F.col("attachment_urls"))
+    fields = {n: (survivors.not_blank(F.col(n)), F.lit(0)) for n in P2_FIELDS} | {"publish_time": (timed, F.lit(0)), "attachment_urls": (urls > 0, urls)}
+    order = F.struct(survivors.tier_rank(F.col("source_tier")).alias("tier"), F.coalesce("crawl_time", F.lit("")).alias("crawled"), (-F.col("row_id")).alias("first"))
+    weight = survivors.record_weight(F.col("source_tier"), F.try_to_date(F.substring("crawl_time", 1, 10)), F.lit(P2_NOW).cast("date"))
+    return survivors.long_rows(df, F.lower("checksum"), "row_id", weight, order, fields)
+
+
+#: The day from which ages are counted, a parameter so that results can be repeated.
+P2_NOW = "2026-07-01"
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that supplies each field of each group of records with one checksum."""
+    best = survivors.best_rows(_record_fields(spark, sf_dir))
+    return best.select(F.col("g").alias("checksum"), "field_name", F.col("r").alias("row_id"))
+
+
+def p2_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per group whose fields won the vote of trust times recency."""
+    return survivors.voted_records(_record_fields(spark, sf_dir), P2_FIELDS).withColumnRenamed("g", "checksum")
+
+
+def p2_untimed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p2_found without publish_time, which SQL can follow."""
+    return p2_found(spark, sf_dir).where(F.col("field_name") != "publish_time")
+
+
+P2_SQL = """
+WITH e AS (
+  SELECT *, lower(checksum) AS g, lower(trim(coalesce(source_tier, ''))) AS tier,
+         CASE WHEN json_valid(attachment_urls) AND json_type(attachment_urls) = 'ARRAY'
+              THEN len(list_distinct(list_filter(json_extract_string(attachment_urls, '$[*]'), lambda x: x IS NOT NULL AND trim(x) <> ''))) ELSE 0 END AS urls
+  FROM objective_records
+  WHERE trim(coalesce(checksum, '')) <> '' AND regexp_matches(regexp_replace(coalesce(raw_text, ''), '<[^>]*>', '', 'g'), '\\S')
+), m AS (SELECT g FROM e GROUP BY g HAVING count(*) >= 2),
+l AS (
+  SELECT e.g, row_id, tier, coalesce(crawl_time, '') AS crawl_time, 0 AS urls, f.field_name, f.value
+  FROM e JOIN m USING (g), unnest([{field_name: 'title', value: title}, {field_name: 'company_code', value: company_code},
+       {field_name: 'company_name', value: company_name}, {field_name: 'category', value: category}]) AS t(f)
+  UNION ALL
+  SELECT e.g, row_id, tier, coalesce(crawl_time, ''), urls, 'attachment_urls', CASE WHEN urls > 0 THEN 'x' END FROM e JOIN m USING (g)
+), k AS (
+  SELECT *, row_number() OVER (PARTITION BY g, field_name ORDER BY urls DESC,
+    CASE tier WHEN 'tier1' THEN 1 WHEN 'tier2' THEN 2 WHEN 'tier3' THEN 3 ELSE 4 END, crawl_time DESC, row_id) AS n
+  FROM l WHERE trim(coalesce(value, '')) <> ''
+)
+SELECT g AS checksum, field_name, row_id FROM k WHERE n = 1
+"""
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles and leads that were decoded wrongly."""
     return mojibake.find_garbled(_table(spark, sf_dir, "news_articles"), "row_id", ["title", "lead"]).select("row_id", "field_name")
@@ -62,6 +123,9 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p2_merged": p2_merged,
+    "p2_untimed": p2_untimed,
     "p3_found": p3_found,
     "p3_restored": p3_restored,
     "p4_found": p4_found,
@@ -69,5 +133,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "p2_untimed": P2_SQL,
     "p4_found": P4_SQL,
 }
