@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.instants import with_readings
-from . import mainbody, mojibake, repeated, survivors, textform
+from . import mainbody, mojibake, nearcopies, repeated, survivors, textform
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,6 +116,24 @@ WHERE c.c >= 4 AND c.c >= 0.05 * n.total
 """
 
 
+def _near_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    df = _table(spark, sf_dir, "objective_records")
+    dropper = nearcopies.page_line_dropper(*mainbody.collect_vocabulary(mainbody.page_vocabulary(df, "raw_text")))
+    return nearcopies.near_copies(df, "row_id", "title", "raw_text", words=3, threshold=0.6, min_words=80, drop_lines=dropper)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records that report one disclosure: exact copies and edited versions."""
+    return nearcopies.all_pairs(*_near_copies(spark, sf_dir)).select(F.col("id_a").alias("row_id_a"), F.col("id_b").alias("row_id_b"))
+
+
+def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record: its class of exact copies and the links of that class."""
+    members, links = _near_copies(spark, sf_dir)
+    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
+    return members.join(degree, "rep", "left").select(F.col("id").alias("row_id"), F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of objective_records that differ from their consistent form."""
     return textform.find_inconsistent(_table(spark, sf_dir, "objective_records"), "row_id", ["title", "raw_text", "company_name"])
@@ -129,6 +147,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_restored": p3_restored,
     "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p5_classes": p5_classes,
     "p7_found": p7_found,
 }
 
