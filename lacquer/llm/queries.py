@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.instants import with_readings
-from . import mainbody, mojibake, nearcopies, repeated, survivors, textform
+from . import cutoff, mainbody, mojibake, nearcopies, repeated, survivors, textform
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,6 +139,17 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textform.find_inconsistent(_table(spark, sf_dir, "objective_records"), "row_id", ["title", "raw_text", "company_name"])
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text stops before its end."""
+    scored = cutoff.score_ends(_table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    return scored.where(F.col("score") > 0.5).select("doc_id")
+
+
+def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of truncated texts per source."""
+    return cutoff.truncation_by_source(cutoff.score_ends(_table(spark, sf_dir, "documents"), "doc_id", "text", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -150,6 +161,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_found": p5_found,
     "p5_classes": p5_classes,
     "p7_found": p7_found,
+    "p10_found": p10_found,
+    "p10_sources": p10_sources,
 }
 
 ORACLE_SQL: dict[str, str] = {
