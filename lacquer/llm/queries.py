@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.instants import with_readings
-from . import cutoff, mainbody, mojibake, nearcopies, repeated, survivors, textform
+from . import cutoff, mainbody, mixing, mojibake, nearcopies, packing, repeated, survivors, textform, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,6 +139,41 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textform.find_inconsistent(_table(spark, sf_dir, "objective_records"), "row_id", ["title", "raw_text", "company_name"])
 
 
+def _token_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of all documents, computed once."""
+    docs = _table(spark, sf_dir, "documents")
+    return docs.select("doc_id", "source", tokens.token_count(F.col("text")).alias("tokens")).checkpoint()
+
+
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container of every document for each capacity."""
+    sizes, out = _token_sizes(spark, sf_dir), None
+    for spec in _table(spark, sf_dir, "pack_specs").orderBy("spec_id").collect():
+        packed = packing.pack(sizes, "doc_id", "tokens", spec["capacity_tokens"]).select(F.lit(spec["spec_id"]).alias("spec_id"), "*")
+        out = packed if out is None else out.unionByName(packed)
+    return out
+
+
+def p8_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers of each capacity are."""
+    sizes, out = _token_sizes(spark, sf_dir), None
+    for spec in _table(spark, sf_dir, "pack_specs").orderBy("spec_id").collect():
+        used = packing.usage(packing.pack(sizes, "doc_id", "tokens", spec["capacity_tokens"]), spec["capacity_tokens"])
+        used = used.select(F.lit(spec["spec_id"]).alias("spec_id"), F.lit(spec["capacity_tokens"]).alias("capacity"), "*")
+        out = used if out is None else out.unionByName(used)
+    return out
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the mix and how often each is used."""
+    return mixing.mix(_token_sizes(spark, sf_dir), "doc_id", "source", "tokens", _table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return mixing.mix(_token_sizes(spark, sf_dir), "doc_id", "source", "tokens", _table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose text stops before its end."""
     scored = cutoff.score_ends(_table(spark, sf_dir, "documents"), "doc_id", "text", "source")
@@ -161,6 +196,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_found": p5_found,
     "p5_classes": p5_classes,
     "p7_found": p7_found,
+    "p8_packed": p8_packed,
+    "p8_usage": p8_usage,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_sources": p10_sources,
 }
