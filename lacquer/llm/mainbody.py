@@ -127,14 +127,23 @@ FURNITURE = {
     "neighbour": r"(?:trước|tiếp theo|tiếp|kế tiếp|previous|next|prev) ?: ",
 }
 _FURNITURE = re.compile("|".join(f"(?:{p})" for p in FURNITURE.values()), re.I)
+# First words of the patterns above, and parts of those that begin with any word.
+FIRST_WORDS = frozenset(
+    "bản giấy nghiêm thông nội this all registered vui disclaimer no chúng website trang we khi by your cho đường hotline tòa hộp liên contact editorial "
+    "chia share gửi send email theo follow bạn nghe listen kéo story continues continue bình comment comments báo report xem in print lên back mời đăng "
+    "subscribe newsletter newsletters sign quảng advertisement sponsored we special from cập last updated published mã từ tag tags chủ topic topics keyword "
+    "keywords tin bài cùng đọc mới có related you more most read trending see trước tiếp kế previous next prev".split()
+)
+INNER_PARTS = ("không chịu trách nhiệm về", "no liability", "lưu tệp nhỏ", "and its partners", "°c")
 #: Who wrote it: only lines without an ending full stop.
 _BYLINE = re.compile(
     r"(?:tác giả|bài|thực hiện|ảnh|bài và ảnh|nguồn|biên tập|phóng viên|written by|edited by|editing by|photo|author) ?: ?.{1,60}$"
     r"|pv [^.]{1,40}$|ban (?:kinh tế|biên tập|thời sự)\b|(?:by|reporting by) .{1,60}$|.{0,20}(?:tổ phóng viên|nhóm dữ liệu) ",
     re.I,
 )
+_FIRST = re.compile(r"[^\W\d_]+")
 _RELATED = re.compile(FURNITURE["related"], re.I)
-_SENTENCE_END = re.compile(r"[.!?…][\"”’')\]]*$|[.!?…]$")
+_STOPS = frozenset(".!?…")
 _BULLET = re.compile(r"^[-•»+*·–>]\s+")
 _QUOTE_MOVE = re.compile(r"[A-Z]{3,5} [\d.,]+ [+\-▲▼][\d.,]+%")
 _SEPARATOR = re.compile(r"\s*[|·>•/]\s+|\s{2,}|\t+")
@@ -179,7 +188,7 @@ def page_vocabulary(df: DataFrame, text: str, min_share: float = 5e-4, min_rows:
     ).select("kind", "item")
 
 
-def page_lines(text: str | None, title: str | None, menu: frozenset[str], headings: frozenset[str]) -> list[int]:
+def page_lines(text: str | None, title: str | None, menu: frozenset[str], headings: frozenset[str], in_form: bool = False) -> list[int]:
     """Numbers of the non-blank lines that are the page's, not the article's.
 
     Null, empty or blank text: none.  A text of one non-blank line is its own text
@@ -187,12 +196,13 @@ def page_lines(text: str | None, title: str | None, menu: frozenset[str], headin
     """
     if not text:
         return []
-    text = consistent(text)
+    if not in_form:
+        text = consistent(text)
     if "<" in text:
         seen = render(text)
     else:
         seen = [(n, s, False) for n, s in enumerate(text.split("\n"), 1)]
-    rows = [(n, s, " ".join(s.split()), h) for n, s, h in seen if s.strip()]
+    rows = [(n, s, _plain(s), h) for n, s, h in seen if s and not s.isspace()]
     if not rows:
         return []
     want = " ".join(consistent(title or "").lower().split()).rstrip(".")
@@ -218,6 +228,13 @@ def page_lines(text: str | None, title: str | None, menu: frozenset[str], headin
     return out
 
 
+def _plain(line: str) -> str:
+    """Single spaces inside, none outside; most lines are so already."""
+    if "  " in line or "\t" in line:
+        return " ".join(line.split())
+    return line.strip()
+
+
 def _between(kinds: list[str], k: int, last: int) -> bool:
     """Whether the nearest judged lines before and after are the article's own."""
     before = next((x for x in reversed(kinds[:k]) if x != "short"), "edge")
@@ -233,9 +250,11 @@ def _kind(line: str, raw: str, hidden: bool, menu: frozenset[str], headings: fro
     if title and len(low) < len(title) + 3 and low.rstrip(".") == title:
         return "own"
     start = low.lstrip("-–—•»+*· >")
-    if _FURNITURE.match(start) or (("▲" in line or "▼" in line or "%" in line) and _QUOTE_MOVE.match(line)):
+    word = _FIRST.match(start)
+    likely = word is None or word.group() in FIRST_WORDS or any(x in low for x in INNER_PARTS)
+    if likely and _FURNITURE.match(start) or (("▲" in line or "▼" in line or "%" in line) and _QUOTE_MOVE.match(line)):
         return "page"
-    ended = bool(_SENTENCE_END.search(line))
+    ended = line.rstrip("\"”’')]")[-1:] in _STOPS
     if ended:
         return "own"
     words = line.split()

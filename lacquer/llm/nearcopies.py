@@ -29,79 +29,140 @@ from .textform import consistent
 
 #: Trees of the forest, min-hash values that neighbours share at least, further values
 #: a crowded region may be entered by, bytes of the sketch, size of a crowded region.
-TREES, BASE_DEPTH, MORE_DEPTH, SKETCH, CROWDED = 20, 3, 4, 24, 256
+TREES, BASE_DEPTH, MORE_DEPTH, SKETCH, CROWDED = 16, 3, 4, 40, 256
 WORDS, THRESHOLD, MIN_WORDS = 5, 0.8, 1
-_WORD = re.compile(r"[^\W_]+")
+_WORD = re.compile(r"\w+")
 _TAG = re.compile(r"<[^>]*>")
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9)]
-_SEEDS = np.random.RandomState(7).randint(1, 2**63 - 1, size=(2, TREES * BASE_DEPTH + SKETCH)).astype(np.uint64) | np.uint64(1)
+_SEEDS = np.random.RandomState(7).randint(1, 2**32 - 1, size=(2, TREES * BASE_DEPTH + SKETCH), dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
-def words_of(title: str | None, text: str | None, drop_lines: Callable[[str, str | None], list[int]]) -> list[str]:
-    """Words of title and text in consistent form, without the page's lines, then without tags."""
+def own_text(title: str | None, text: str | None, drop_lines: Callable[[str, str | None], list[int]]) -> str:
+    """Title and text in consistent form and lower case, without the page's lines, then without tags.
+
+    drop_lines gets the text in consistent form.
+    """
     text = consistent(text or "")
     dropped = set(drop_lines(text, title))
     body = "\n".join(x for n, x in enumerate(text.split("\n"), 1) if n not in dropped) if dropped else text
     if "<" in body:
         body = _TAG.sub(" ", body)
-    return _WORD.findall(f"{consistent(title or '')}\n{body}".lower())
-
-
-class Shingler:
-    """Distinct shingles of a word list as sorted 64-bit numbers, alike in every process."""
-
-    def __init__(self, words: int):
-        self.words, self.numbers = words, {}
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        known = self.numbers
-        if len(known) > 500_000:
-            known.clear()
-        codes = []
-        for w in words:
-            n = known.get(w)
-            if n is None:
-                n = known[w] = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-            codes.append(n)
-        a = np.array(codes, dtype=np.uint64)
-        k = self.words
-        if len(a) < k:
-            a = np.concatenate([a, np.zeros(k - len(a), np.uint64)])
-        h = np.zeros(len(a) - k + 1, np.uint64)
-        for i in range(k):
-            h = (h ^ (a[i : len(a) - k + 1 + i] + _MIX[1])) * _MIX[0]
-            h ^= h >> np.uint64(29)
-        h *= _MIX[3]
-        return np.unique(h ^ (h >> np.uint64(32)))
-
-
-def signature(shingles: np.ndarray) -> bytes:
-    """16-bit min-hash values of the trees, then one byte for each value of the sketch."""
-    low = np.empty(_SEEDS.shape[1], np.uint64)
-    for at in range(0, _SEEDS.shape[1], 28):
-        low[at : at + 28] = (shingles[:, None] * _SEEDS[0, at : at + 28] + _SEEDS[1, at : at + 28]).min(0)
-    low ^= low >> np.uint64(31)
-    low *= _MIX[0]
-    top = (low >> np.uint64(48)).astype(">u2")
-    return top[: TREES * BASE_DEPTH].tobytes() + (top[TREES * BASE_DEPTH :] & 0xFF).astype(np.uint8).tobytes()
+    return f"{consistent(title or '')}\n{body}".lower()
+
+
+def words_of(title: str | None, text: str | None, drop_lines: Callable[[str, str | None], list[int]]) -> list[str]:
+    """The words of a record: runs of letters and digits."""
+    return _WORD.findall(own_text(title, text, drop_lines).replace("_", " "))
+
+
+_LETTER = np.array([chr(c).isalnum() for c in range(0x30000)])
+_POWERS = np.cumprod(np.full(4096, _MIX[0], np.uint64))
+
+
+def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, sizes): a 64-bit number for each word of the texts, and words per text.
+
+    Words are found and hashed in whole batches: a polynomial over the characters of
+    each run of letters and digits.  The numbers are the same in every process.
+    """
+    sizes = np.zeros(len(texts), np.int64)
+    codes = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = _LETTER[np.minimum(codes, len(_LETTER) - 1)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
+        edges = np.concatenate([[0], edges])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64), sizes
+    where = np.flatnonzero(inside)
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(len(where)) - np.repeat(first, lengths)
+    mixed = (codes[where].astype(np.uint64) + _MIX[1]) * _MIX[2]
+    mixed ^= mixed >> np.uint64(31)
+    numbers = np.add.reduceat(mixed * _POWERS[place % len(_POWERS)], first)
+    numbers ^= numbers >> np.uint64(32)
+    borders = np.cumsum([len(t) + 1 for t in texts])
+    sizes += np.bincount(np.searchsorted(borders, starts, "right"), minlength=len(texts))[: len(texts)]
+    return numbers * _MIX[3], sizes
+
+
+def shingle_sets(numbers: np.ndarray, sizes: np.ndarray, words: int, min_words: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(values, starts): sorted distinct shingles of each text, one after the other.
+
+    A text of fewer words than a shingle is one shingle; one of fewer than min_words
+    has none.
+    """
+    short = np.flatnonzero((sizes < words) & (sizes > 0))
+    h = np.zeros(len(numbers), np.uint64)
+    for i in range(words):
+        ahead = np.zeros(len(numbers), np.uint64)
+        ahead[: max(len(numbers) - i, 0)] = numbers[i:]
+        h = (h ^ (ahead + _MIX[1])) * _MIX[0]
+        h ^= h >> np.uint64(29)
+    h *= _MIX[3]
+    h ^= h >> np.uint64(32)
+    at = np.cumsum(sizes) - sizes
+    for k in short:  # what follows is another text's
+        own = np.uint64(0)
+        for x in [*numbers[at[k] : at[k] + sizes[k]], *[np.uint64(0)] * (words - sizes[k])]:
+            own = (own ^ (x + _MIX[1])) * _MIX[0]
+            own ^= own >> np.uint64(29)
+        own *= _MIX[3]
+        h[at[k]] = own ^ (own >> np.uint64(32))
+    sets = []
+    for a, n in zip(at, sizes):
+        x = np.sort(h[a : a + (max(n - words + 1, 1) if n >= max(min_words, 1) else 0)])
+        sets.append(x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x)
+    return np.concatenate([np.zeros(0, np.uint64), *sets]), np.cumsum([0, *map(len, sets)])
+
+
+def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Bytes per set: 16-bit min-hash values of the trees, then a byte per value of the sketch."""
+    n = len(starts) - 1
+    low = np.zeros((n, _SEEDS.shape[1]), np.uint32)
+    short = (values >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, n, 256):  # a block's numbers stay in the cache
+        to = min(at + 256, n)
+        a, b = starts[at], starts[to]
+        filled = np.flatnonzero(starts[at + 1 : to + 1] > starts[at:to])
+        if not len(filled):
+            continue
+        cuts, x = starts[at:to][filled] - a, short[a:b]
+        for k in range(_SEEDS.shape[1]):
+            y = x * _SEEDS[0, k]
+            y ^= y >> np.uint32(15)
+            y *= _SEEDS[1, k]
+            low[at + filled, k] = np.minimum.reduceat(y, cuts)
+    low ^= low >> np.uint32(16)
+    low *= np.uint32(0x85EBCA6B)
+    top = (low >> np.uint32(16)).astype(">u2")
+    trees = TREES * BASE_DEPTH
+    return np.concatenate([np.ascontiguousarray(top[:, :trees]).view(np.uint8).reshape(n, -1), (top[:, trees:] & 0xFF).astype(np.uint8)], 1)
 
 
 _SIGNED = T.StructType([T.StructField("cls", T.BinaryType()), T.StructField("sig", T.BinaryType())])
 
 
+#: Records whose words are held at a time.
+HELD = 400
+
+
+def _slices(title: pd.Series, text: pd.Series, drop_lines: Callable, words: int, min_words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingle sets of a batch, some hundred records at a time."""
+    for at in range(0, len(title), HELD):
+        texts = [own_text(h, x, drop_lines) for h, x in zip(title[at : at + HELD], text[at : at + HELD])]
+        yield shingle_sets(*word_numbers(texts), words, min_words)
+
+
 def _signer(words: int, min_words: int, drop_lines: Callable):
     @F.pandas_udf(_SIGNED)
     def sign(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        shingle = Shingler(words)
         for title, text in batches:
             out = []
-            for h, x in zip(title, text):
-                w = words_of(h, x, drop_lines)
-                if len(w) < max(min_words, 1):
-                    out.append((None, None))
-                    continue
-                s = shingle(w)
-                out.append((hashlib.md5(s.tobytes()).digest(), signature(s)))
+            for values, starts in _slices(title, text, drop_lines, words, min_words):
+                signed = signatures(values, starts)
+                out += [(hashlib.md5(values[a:b].tobytes()).digest(), signed[i].tobytes()) if b > a else (None, None) for i, (a, b) in enumerate(zip(starts, starts[1:]))]
             yield pd.DataFrame(out, columns=["cls", "sig"])
 
     return sign
@@ -110,21 +171,27 @@ def _signer(words: int, min_words: int, drop_lines: Callable):
 def _packer(words: int, drop_lines: Callable):
     @F.pandas_udf(T.BinaryType())
     def pack(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        shingle = Shingler(words)
         for title, text in batches:
-            # 40 bits keep two different shingles of a pair apart but for one pair in a million
-            yield pd.Series([_packed(shingle(words_of(h, x, drop_lines))) for h, x in zip(title, text)])
+            sets = [_packed(v[a:b]) for v, s in _slices(title, text, drop_lines, words, 1) for a, b in zip(s, s[1:])]
+            yield pd.Series(sets, dtype=object)
 
     return pack
 
 
 def _packed(shingles: np.ndarray) -> bytes:
-    low = np.unique(shingles >> np.uint64(32)).astype(np.uint32)
-    return low.tobytes()
+    """Shingles in 24 bits each: two of a pair's few hundred fall together once in some hundred pairs."""
+    low = np.unique((shingles >> np.uint64(40)).astype(np.uint32))
+    return np.ascontiguousarray(low.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 3, 4), np.uint8)
+    wide[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    return wide.view("<u4").ravel()
 
 
 def _jaccard(a: bytes, b: bytes) -> float:
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    x, y = _unpacked(a), _unpacked(b)
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / (len(x) + len(y) - both)
 
@@ -135,7 +202,7 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def least_agreement(threshold: float) -> int:
-    """Bytes of the sketch that a pair at the threshold shares but for one in a thousand."""
+    """Bytes of the sketch that a pair at the threshold shares but for one in two thousand."""
     return max(1, int(SKETCH * threshold - 3.3 * (SKETCH * threshold * (1 - threshold)) ** 0.5))
 
 
@@ -233,7 +300,7 @@ def near_copies(
     members = signed.select("id", "cls").join(classes.select("cls", F.col("id").alias("rep")), "cls").select("id", "rep")
     pairs = forest_candidates(classes.select("id", "sig"), threshold).checkpoint()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = base.join(wanted, "id", "left_semi").select("id", _packer(words, drop_lines)("title", "text").alias("set")).checkpoint()
+    sets = base.join(wanted, "id", "left_semi").select("id", _packer(words, drop_lines)("title", "text").alias("set"))
     one = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     other = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", similarity("set_a", "set_b").alias("similarity"))
@@ -250,4 +317,4 @@ def all_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def page_line_dropper(menu: frozenset[str], headings: frozenset[str]) -> Callable[[str, str | None], list[int]]:
-    return lambda text, title: page_lines(text, title, menu, headings)
+    return lambda text, title: page_lines(text, title, menu, headings, in_form=True)

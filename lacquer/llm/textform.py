@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,21 @@ SUSPECT_CLASS = f"{INVISIBLE}{SPACES}{HYPHENS}{WIDE}{OTHER}{MARKS}{DOUBLES}{''.j
 _SUSPECT = re.compile(f"[{SUSPECT_CLASS}]")
 
 
+def _suspect_table() -> np.ndarray:
+    table = np.zeros(0x110000, bool)
+    for c in _SUSPECT.finditer("".join(map(chr, [*range(0xD800), *range(0xE000, 0x30000), *range(0xE0000, 0xE1000)]))):
+        table[ord(c.group())] = True
+    return table
+
+
+_TABLE = _suspect_table()
+
+
+def _suspect(value: str) -> bool:
+    """Whether a value has a suspect character: one table look-up per character."""
+    return bool(_TABLE[np.frombuffer(value.encode("utf-32-le", "surrogatepass"), np.uint32)].any())
+
+
 def _script(c: str) -> str:
     if "Ѐ" <= c <= "ԯ":
         return "C"
@@ -99,7 +115,7 @@ def _respell(match: re.Match) -> str:
 
 def consistent(value: str | None) -> str | None:
     """Null stays null, "" stays ""; a value without suspect characters is returned as it is."""
-    if value is None or value.isascii() or not _SUSPECT.search(value):
+    if value is None or value.isascii() or not _suspect(value):
         return value
     v = _INVISIBLE.sub("", value)
     v = _SPACES.sub(" ", v)
