@@ -67,7 +67,7 @@ def z_score(c: Column, n: int, w: WindowSpec) -> Column:
 
 def coverage(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, filled, percent): rows with a value, whole percents, 0 of an empty table."""
-    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(c) for c in columns])
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(c).alias(c) for c in columns])
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in columns])
-    long = counts.select("n", F.inline(rows))
-    return long.select("column_name", "filled", F.when(F.col("n") > 0, F.floor(F.col("filled") * 100 / F.col("n"))).otherwise(0).cast("long").alias("percent"))
+    long = counts.select("__rows", F.inline(rows))
+    return long.select("column_name", "filled", F.when(F.col("__rows") > 0, F.floor(F.col("filled") * 100 / F.col("__rows"))).otherwise(0).cast("long").alias("percent"))
