@@ -2,9 +2,9 @@
 
 import pytest
 
-from lacquer.plans import records, series, streams, times
+from lacquer.plans import payloads, records, series, streams, times
 
-SETS = (records, series, streams, times)
+SETS = (records, payloads, series, streams, times)
 QUERIES = {k: v for s in SETS for k, v in s.QUERIES.items()}
 SQL = {k: v for s in SETS for k, v in s.ORACLE_SQL.items()}
 
