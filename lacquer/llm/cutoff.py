@@ -109,7 +109,7 @@ def _last_line(text: Column) -> Column:
 
 
 def _cuts(limits: dict[str, list[tuple[int, int]]], common: set[str]):
-    """Rows of (label, features): each intact text as it is and cut."""
+    """Rows of (k, label, features): each intact text as it is and cut."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
@@ -123,7 +123,7 @@ def _cuts(limits: dict[str, list[tuple[int, int]]], common: set[str]):
                 at = _at_limit(text, known)
                 if not stripped or (at and not _ENDED.search(stripped)) or not (closing or _ENDED.search(stripped)) or _OMISSION.search(stripped) and not closing:
                     continue  # not known to be intact
-                out.append((0, features(text[-TAIL:], at, closing)))
+                out.append((key, 0, features(text[-TAIL:], at, closing)))
                 for _ in range(2):
                     fitting = [(k, x) for k, x in known if (x if k == 2 else x * 4) < len(text) - 1]
                     if fitting and rng.rand() < 0.5:
@@ -140,8 +140,8 @@ def _cuts(limits: dict[str, list[tuple[int, int]]], common: set[str]):
                         continue
                     marked = "" if rng.rand() < 0.7 or inside else (" […]", "…", " (...)", "...", " …")[rng.randint(5)]
                     ended_line = (bare + marked).rsplit("\n", 1)[-1]
-                    out.append((0 if inside else 1, features((cut if not marked else bare + marked)[-TAIL:], k, template(ended_line) in common)))
-            yield pd.DataFrame(out, columns=["label", "f"])
+                    out.append((key, 0 if inside else 1, features((cut if not marked else bare + marked)[-TAIL:], k, template(ended_line) in common)))
+            yield pd.DataFrame(out, columns=["k", "label", "f"])
 
     return make
 
@@ -177,7 +177,7 @@ def score_ends(df: DataFrame, key: str, text: str, source: str, train_rows: int
     """(key, source, score): probability that each text stops before its end.
 
     Null and blank texts score null.  key must be unique for a repeatable sample; the
-    sample is the train_rows rows of smallest key hash, the statistics see all rows.
+    sample is the rows of small key hash, about train_rows; the statistics see all rows.
     """
     limits, common = source_limits(df, text, source), common_closings(df, text)
     known: dict[str, list[tuple[int, int]]] = {}
@@ -187,9 +187,11 @@ def score_ends(df: DataFrame, key: str, text: str, source: str, train_rows: int
         v.sort()
     closings = {r["closing"] for r in common.collect()}  # at most 1 / COMMON_SHARE
     sample = _lengths(df, text, source).select(F.col(key).cast("string").alias("k"), F.col("__s").alias("s"), F.col("__t").alias("t"))
-    sample = sample.orderBy(F.xxhash64("k"), "k").limit(train_rows).repartition(8)
-    rows = sample.mapInPandas(_cuts(known, closings), "label int, f array<int>").toPandas()
-    weights = train(rows.sort_values(["label"], kind="stable").reset_index(drop=True) if len(rows) else rows)
+    # a hash threshold takes about train_rows rows wherever they lie: no sort, no task that merges
+    share = min(1.0, train_rows / max(df.count(), 1))
+    sample = sample.where(F.pmod(F.xxhash64("k"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = sample.mapInPandas(_cuts(known, closings), "k string, label int, f array<int>").toPandas()
+    weights = train(rows.sort_values(["k", "label"], kind="stable").reset_index(drop=True))
 
     @F.pandas_udf(T.DoubleType())
     def score(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
