@@ -216,8 +216,11 @@ class Labeller:
             k = max(end, b)
         return found
 
-    def judge(self, values: list[str | None]) -> list[tuple[bool, str | None, str | None]]:
-        """(garbled, restored text or None where it cannot be, pairs) per value."""
+    def judge(self, values: list[str | None], again: int = 2) -> list[tuple[bool, str | None, str | None]]:
+        """(garbled, restored text or None where it cannot be, pairs) per value.
+
+        A restored text is judged again, for what was read wrongly more than once.
+        """
         known = [i for i, v in enumerate(values) if v]
         out: list[tuple[bool, str | None, str | None]] = [(False, v, None) for v in values]
         for i, path in zip(known, self.paths([values[i] for i in known])):
@@ -237,6 +240,10 @@ class Labeller:
                 text = text[:a] + back[0] + text[b:]
             if kinds:
                 out[i] = (True, text if whole else None, ",".join(dict.fromkeys(reversed(kinds))))
+        back = [i for i in known if out[i][0] and out[i][1] and again]
+        for i, (more, text, pairs) in zip(back, self.judge([out[i][1] for i in back], again - 1) if back else []):
+            if more:
+                out[i] = (True, text, ",".join(dict.fromkeys([*out[i][2].split(","), *pairs.split(",")])))
         return out
 
 
