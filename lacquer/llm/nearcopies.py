@@ -1,11 +1,11 @@
 """Near-duplicate records by an LSH forest over word shingles.
 
 Method: every distinct text gets min-hash values; a tree is one order of them.  Rows
-are sorted by tree and signature, and rows that share a prefix of at least BASE_DEPTH
-values are neighbours.  A region of many neighbours is entered deeper, one value at a
-time, until it is small: the depth adapts to the region, no partner is dropped by
-count.  Neighbours whose short sketches agree enough become candidates and are checked
-exactly on their shingle sets.
+are sorted by tree and signature, and rows that share a prefix of BASE_DEPTH values are
+neighbours.  All neighbours of a region are compared, however many: a large region is
+cut into blocks and its pairs of blocks are spread over tasks, so recall does not depend
+on its size.  Neighbours whose short sketches agree enough become candidates and are
+checked on their shingle sets.
 
 Exact copies meet first: texts with one shingle set are one class, and only class
 representatives enter the forest.  Between representatives there is one row per link.
@@ -27,9 +27,11 @@ from pyspark.sql import types as T
 from .mainbody import page_lines
 from .textform import consistent
 
-#: Trees of the forest, min-hash values that neighbours share at least, further values
-#: a crowded region may be entered by, bytes of the sketch, size of a crowded region.
-TREES, BASE_DEPTH, MORE_DEPTH, SKETCH, CROWDED = 16, 3, 4, 40, 256
+#: Trees of the forest, min-hash values that neighbours share, values a region was once
+#: split by (a test's data has them, nothing is separated by them), bytes of the sketch.
+TREES, BASE_DEPTH, MORE_DEPTH, SKETCH = 16, 3, 4, 40
+#: Rows of a small region, rows compared at a time, and rows of a region that one task compares.
+SMALL, CROWDED, BLOCK = 16, 256, 2048
 WORDS, THRESHOLD, MIN_WORDS = 5, 0.8, 1
 _WORD = re.compile(r"\w+")
 _TAG = re.compile(r"<[^>]*>")
@@ -206,79 +208,127 @@ def least_agreement(threshold: float) -> int:
     return max(1, int(SKETCH * threshold - 3.3 * (SKETCH * threshold * (1 - threshold)) ** 0.5))
 
 
-def _neighbours(least: int):
-    """Candidates among rows sorted by tree key and deeper values; a run may span batches."""
-
-    def close(ids: np.ndarray, sketches: np.ndarray, out: list) -> None:
-        n = len(ids)
-        for at in range(0, n, CROWDED):  # blocks bound the memory of the comparison
-            for to in range(at, n, CROWDED):
-                same = (sketches[at : at + CROWDED, None, :] == sketches[None, to : to + CROWDED, :]).sum(2)
-                i, j = np.nonzero(same >= least)
-                i, j = i + at, j + to
-                keep = i < j
-                a, b = ids[i[keep]], ids[j[keep]]
-                out.append((np.minimum(a, b), np.maximum(a, b)))
-
-    def enter(ids: np.ndarray, sketches: np.ndarray, deep: np.ndarray, level: int, out: list) -> None:
-        if len(ids) < 2:
-            return
-        if len(ids) <= CROWDED or level == MORE_DEPTH:
-            close(ids, sketches, out)
-            return
-        value = deep[:, level]
-        edges = np.flatnonzero(value[1:] != value[:-1]) + 1
-        for a, b in zip([0, *edges], [*edges, len(ids)]):
-            enter(ids[a:b], sketches[a:b], deep[a:b], level + 1, out)
+def _alike(ids: np.ndarray, sketches: np.ndarray, others: np.ndarray | None, more: np.ndarray | None, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(smaller, larger) ids of pairs whose sketches agree enough, within a block or between two."""
+    one = np.ascontiguousarray(sketches.T)
+    two = one if others is None else np.ascontiguousarray(more.T)
+    for at in range(0, one.shape[1], CROWDED):  # parts bound the memory of the comparison
+        for to in range(at if others is None else 0, two.shape[1], CROWDED):
+            x, y = one[:, at : at + CROWDED, None], two[:, None, to : to + CROWDED]
+            same = np.zeros((x.shape[1], y.shape[2]), np.uint8)
+            for k in range(SKETCH):
+                same += (x[k] == y[k]).view(np.uint8)
+            i, j = np.nonzero(same >= least)
+            i, j = i + at, j + to
+            if others is None:
+                i, j = i[keep := i < j], j[keep]
+            a, b = ids[i], (ids if others is None else others)[j]
+            yield np.minimum(a, b), np.maximum(a, b)
+
+
+#: Pairs, or blocks of regions that are too large for one task.
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("no", pa.int32()), ("block", pa.struct([("ids", pa.binary()), ("sketches", pa.binary())]))])
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _met(out: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    return np.unique(np.stack([np.concatenate([x[i] for x in out]) for i in (0, 1)], 1), axis=0) if out else np.zeros((0, 2), np.int64)
+
+
+def _neighbours(least: int, most: int | None = None):
+    """Candidates among rows sorted by tree key; a region may span batches.
+
+    A region of more than `most` rows is given out in blocks of so many instead.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held, given = None, 0  # the last region, and how many blocks of it were given out
+
+        def blocks(key: int, no: int, ids: np.ndarray, sketch: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for n, at in enumerate(range(0, len(ids), most)):
+                block = {"ids": ids[at : at + most].tobytes(), "sketches": sketch[at : at + most].tobytes()}
+                yield pa.RecordBatch.from_pylist([{"key": int(key), "no": no + n, "block": block}], _MET)
 
-        def emit(rows: list[np.ndarray]) -> pa.RecordBatch:
-            key, ids, deep, sketch = (np.concatenate([r[i] for r in rows]) for i in range(4))
+        def pairs(out: list) -> Iterator[pa.RecordBatch]:
+            if len(met := _met(out)):
+                yield pa.RecordBatch.from_arrays([pa.array(met[:, 0]), pa.array(met[:, 1]), *(pa.nulls(len(met), f.type) for f in [*_MET][2:])], schema=_MET)
+
+        def whole(key: np.ndarray, ids: np.ndarray, sketch: np.ndarray, given: int) -> Iterator[pa.RecordBatch]:
+            """Whole regions; of the first, some blocks may have been given out."""
             out: list = []
             edges = np.flatnonzero(key[1:] != key[:-1]) + 1
             starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(key)]])
-            for a, b in zip(starts, ends):
-                if b - a > 1:
-                    enter(ids[a:b], sketch[a:b], deep[a:b], 0, out)
-            pairs = np.unique(np.stack([np.concatenate([x[i] for x in out]) for i in (0, 1)], 1), axis=0) if out else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+            rest = np.repeat(ends, ends - starts) - np.arange(len(key)) - 1  # rows of the region that follow
+            rest[np.repeat(ends - starts > SMALL, ends - starts)] = 0
+            if given:
+                rest[: ends[0]] = 0
+            for ahead in range(1, SMALL):  # all small regions at once
+                i = np.flatnonzero(rest >= ahead)
+                i = i[(sketch[i] == sketch[i + ahead]).sum(1) >= least]
+                out.append((np.minimum(ids[i], ids[i + ahead]), np.maximum(ids[i], ids[i + ahead])))
+            for k in sorted({*np.flatnonzero(ends - starts > SMALL), *([0] if given else [])}):
+                a, b, no = starts[k], ends[k], 0 if k else given
+                if no or most and b - a > most:
+                    yield from blocks(key[a], no, ids[a:b], sketch[a:b])
+                else:
+                    out += _alike(ids[a:b], sketch[a:b], None, None, least)
+            yield from pairs(out)
 
         for batch in batches:
             n = len(batch)
             if not n:
                 continue
-            key, ids = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-            deep = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(n, MORE_DEPTH)
-            sketch = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(n, SKETCH)
-            last = int(np.searchsorted(key, key[-1])) if key[0] != key[-1] else 0
-            if last:  # the last key may go on in the next batch
-                yield emit([*held, (key[:last], ids[:last], deep[:last], sketch[:last])])
-                held = []
-            elif held and held[-1][0][-1] != key[0]:
-                yield emit(held)
-                held = []
-            held.append((key[last:], ids[last:], deep[last:], sketch[last:]))
+            rows = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "id")]
+            rows.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(n, SKETCH))
+            rows = [np.concatenate(x) for x in zip(held, rows)] if held else rows
+            last = int(np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))[-1])
+            if last:  # the last region may go on in the next batch
+                yield from whole(*(x[:last] for x in rows), given)
+                rows, given = [x[last:] for x in rows], 0
+            if most and len(rows[0]) > most:  # a row stays, which ends the region later
+                full = (len(rows[0]) - 1) // most * most
+                yield from blocks(rows[0][0], given, *(x[:full] for x in rows[1:]))
+                rows, given = [x[full:] for x in rows], given + full // most
+            held = rows
         if held:
-            yield emit(held)
+            yield from whole(*held, given)
+
+    return run
+
+
+def _between(least: int):
+    """Candidates of block pairs; a block alone is compared with itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def opened(block: dict) -> tuple[np.ndarray, np.ndarray]:
+            return np.frombuffer(block["ids"], np.int64), np.frombuffer(block["sketches"], np.uint8).reshape(-1, SKETCH)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                more = opened(row["other"]) if row["other"] else (None, None)
+                pairs = _met(list(_alike(*opened(row["one"]), *more, least)))
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIR)
 
     return run
 
 
 def forest_candidates(reps: DataFrame, threshold: float) -> DataFrame:
     """(a, b), a < b: pairs of representatives that meet in some tree; reps has id, sig."""
-    values = 2 * TREES * BASE_DEPTH
-    around = F.concat(F.substring("sig", 1, values), F.substring("sig", 1, 2 * (BASE_DEPTH + MORE_DEPTH)))
+    values, least = 2 * TREES * BASE_DEPTH, least_agreement(threshold)
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    rows = reps.select("id", around.alias("v"), F.substring("sig", values + 1, SKETCH).alias("sketch"), trees.alias("t"))
+    rows = reps.select("id", "sig", F.substring("sig", values + 1, SKETCH).alias("sketch"), trees.alias("t"))
     at = F.col("t") * (2 * BASE_DEPTH) + 1
-    rows = rows.select(
-        F.xxhash64("t", F.substring(F.col("v"), at, F.lit(2 * BASE_DEPTH))).alias("key"), "id",
-        F.substring(F.col("v"), at + 2 * BASE_DEPTH, F.lit(2 * MORE_DEPTH)).alias("deep"), "sketch",
-    )
-    ordered = rows.repartition("key").sortWithinPartitions("key", "deep")
-    return ordered.mapInArrow(_neighbours(least_agreement(threshold)), "a long, b long").distinct()
+    rows = rows.select(F.xxhash64("t", F.substring(F.col("sig"), at, F.lit(2 * BASE_DEPTH))).alias("key"), "id", "sketch")
+    ordered = rows.repartition("key").sortWithinPartitions("key")
+    met = ordered.mapInArrow(_neighbours(least, BLOCK), "a long, b long, key long, no int, block struct<ids: binary, sketches: binary>").checkpoint()
+    near = met.where("block is null").select("a", "b")
+    # Every block goes to the pair it forms with each block of its region, so a region is spread over as many tasks as it has block pairs.
+    blocks = met.where("block is not null").select("key", "no", "block")
+    counts = blocks.groupBy("key").agg(F.max("no").alias("last"))
+    placed = blocks.join(counts, "key").select("key", "no", "block", F.explode(F.sequence(F.lit(0), "last")).alias("to"))
+    cells = placed.groupBy("key", F.least("no", "to").alias("i"), F.greatest("no", "to").alias("j")).agg(F.array_agg("block").alias("both"))
+    cells = cells.select(F.col("both")[0].alias("one"), F.try_element_at("both", F.lit(2)).alias("other"))
+    return near.unionByName(cells.mapInArrow(_between(least), "a long, b long")).distinct()
 
 
 def near_copies(

@@ -108,6 +108,48 @@ def test_crowded_regions_are_entered_deeper():
     assert pairs == n // 10 * 45  # every ten alike, none lost over the border of two batches
 
 
+def test_recall_in_a_crowd_of_edited_versions(spark):
+    """Thousands of versions of one text: pairs of 0.6 to 0.7 are found as in a small group."""
+    import numpy as np
+
+    n, size = 3000, 150
+    rng = np.random.RandomState(3)
+    base = rng.randint(0, 2**63, size, np.uint64)
+    kept = rng.rand(n, size) > 0.12  # the shingles a version keeps; the others are its own
+    new = rng.randint(0, 2**63, (n, size), np.uint64)
+    values = np.sort(np.where(kept, base, new) * np.uint64(0x9E3779B97F4A7C15), axis=1)
+    signed = nearcopies.signatures(values.ravel(), np.arange(n + 1) * size)
+    reps = spark.createDataFrame([(i, bytearray(signed[i].tobytes())) for i in range(n)], "id long, sig binary")
+    pairs = nearcopies.forest_candidates(reps, 0.6).toPandas()
+    found = np.zeros((n, n), bool)
+    found[pairs["a"], pairs["b"]] = True
+    assert len(pairs) == found.sum() and (pairs["a"] < pairs["b"]).all()
+    both = kept.astype(np.float32) @ kept.T.astype(np.float32)
+    jaccard = np.triu(both / (2 * size - both), 1)
+    true = (jaccard >= 0.6) & (jaccard <= 0.7)
+    assert true.sum() > 1_000_000 and (found & true).sum() >= 0.97 * true.sum()
+
+
+def test_large_regions_are_compared_in_blocks(spark, monkeypatch):
+    """The same pairs whether a task compares a region or its blocks are spread."""
+    import numpy as np
+
+    rng = np.random.RandomState(4)
+    base = rng.randint(0, 2**63, 60, np.uint64)
+    values = np.sort(np.where(rng.rand(300, 60) > 0.1, base, rng.randint(0, 2**63, (300, 60), np.uint64)) * np.uint64(0x9E3779B97F4A7C15), axis=1)
+    signed = nearcopies.signatures(values.ravel(), np.arange(301) * 60)
+    reps = spark.createDataFrame([(i, bytearray(signed[i].tobytes())) for i in range(300)], "id long, sig binary")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        found = []
+        for block in (2048, 16, 5):
+            monkeypatch.setattr(nearcopies, "BLOCK", block)
+            found.append(sorted(tuple(r) for r in nearcopies.forest_candidates(reps, 0.6).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found[0]) > 10_000 and found[0] == found[1] == found[2]
+
+
 # packing and mixing
 
 
