@@ -195,6 +195,16 @@ def html_links(spark, sf_dir):
     return listing.select("source", F.to_json(text.html_links(F.col("html"))).alias("links"))
 
 
+@query("SELECT DISTINCT source, split_part(url, '/', 4) AS link FROM news_articles WHERE split_part(url, '/', 4) <> ''")
+def html_links_all(spark, sf_dir):
+    """Distinct links of the listing pages of each source, over all articles; a page holds 100 row ids at most."""
+    slug = F.nullif(F.split_part("url", F.lit("/"), F.lit(4)), F.lit(""))
+    anchors = F.concat(F.lit('<li><a class="x" href="'), slug, F.lit('">t</a></li>'))
+    news = read(spark, sf_dir, "news_articles").select("source", F.floor(F.col("row_id") / 100).alias("page"), anchors.alias("a"))
+    pages = news.groupBy("source", "page").agg(F.array_join(F.collect_list("a"), "\n").alias("html"))
+    return pages.select("source", F.explode(text.html_links(F.col("html"))).alias("link")).distinct()
+
+
 @query("""SELECT doc_id, CASE WHEN length(b) > 1000 THEN left(b, 500) || chr(10) || '[…truncated…]' || chr(10) || right(b, 500) ELSE b END AS body FROM (
 SELECT doc_id, array_to_string(list_filter(list_transform(string_split(replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)),
   lambda x: trim(regexp_replace(x, '[ \\t]+', ' ', 'g'))), lambda x: x <> '' AND upper(x) NOT IN ('TIN MỚI', 'XEM THÊM', 'ĐỌC THÊM', 'MỚI NHẤT', 'LIÊN QUAN', 'HOT')), chr(10)) AS b FROM documents)""")

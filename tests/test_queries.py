@@ -26,6 +26,15 @@ def test_entry(spark):
     assert set(QUERIES) <= set(entry.queries())
 
 
+def test_html_links_of_all_rows(spark, tmp_path):
+    """Links of rows beyond the first 500 come out too, each once per source."""
+    rows = [(n, None if n % 50 == 0 else f"s{n % 2}", None if n == 7 else f"https://a.example/page-{n % 900}") for n in range(1200)]
+    spark.createDataFrame(rows, "row_id long, source string, url string").write.parquet(f"{tmp_path}/news_articles.parquet")
+    got = [tuple(r) for r in records.html_links_all(spark, str(tmp_path)).select("source", "link").collect()]
+    want = {(source, url.split("/")[3]) for _, source, url in rows if url}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_counters_add_up(spark, sf_dir):
     n = {r["counter"]: r["n"] for r in records.objective_counters(spark, sf_dir).collect()}
     assert n["read"] == n["utc_rejected"] + n["universe_rejected"] + n["kept"] + n["deduped"]
