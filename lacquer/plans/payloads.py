@@ -30,6 +30,15 @@ def _s(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
+def _escaped(c: str) -> Column:
+    """The value as a page holds it; null is empty."""
+    value = _s(c)
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        value = F.replace(value, F.lit(char), F.lit(entity))
+    return value
+
+
+_STRIP = "regexp_replace({0}, '^[\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]+|[\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]+$', '', 'g')"
 _SQUASH = "trim(regexp_replace({0}, '[\\s\\x1c-\\x1f\\x85\\p{{Z}}]+', ' ', 'g'))"
 
 
@@ -69,6 +78,16 @@ def notice_links(spark, sf_dir):
     return rows.where(F.col("url") == F.concat(F.lit("https://a.example/ad/"), F.col("row_id"))).select("row_id", "ticker", "title")
 
 
+@query("SELECT row_id, trim(company_code) AS ticker, " + _SQUASH.format("title") + " AS title FROM objective_records WHERE regexp_full_match(trim(company_code), '[A-Z]{3,5}') AND " + _SQUASH.format("coalesce(title, '')") + " <> ''")
+def notice_links_all(spark, sf_dir):
+    """notice_links with titles of any characters, out of pages with entities; a notice needs a ticker and a title."""
+    label = F.concat(F.trim("company_code"), F.lit("0042: "), _escaped("title"))
+    page = F.concat(F.lit('<ul><a href="/menu">menu</a><li><a class="n" href="/ad/'), F.col("row_id"), F.lit('">'), label, F.lit('</a><a href="#">ABC0001: x</a></ul>'))
+    rows = read(spark, sf_dir, "objective_records").select("row_id", F.inline(parsers.notice_links(page, "https://a.example")))
+    rows = rows.where(F.col("url") == F.concat(F.lit("https://a.example/ad/"), F.col("row_id")))
+    return rows.select("row_id", "ticker", text.collapse(text.unescape(F.col("title"))).alias("title"))
+
+
 @query("SELECT row_id, substr('\"' || coalesce(url, '') || '\">' || coalesce(title, ''), 1, 80) AS card FROM news_articles")
 def listing_cards(spark, sf_dir):
     page = F.concat(F.lit('<div>x</div><div class="card" href="'), _s("url"), F.lit('">'), _s("title"))
@@ -82,6 +101,13 @@ def article_meta(spark, sf_dir):
     return news.select("row_id", parsers.article_meta(page).alias("m")).select("row_id", "m.title", "m.lead")
 
 
+@query("SELECT row_id, " + _SQUASH.format("coalesce(title, '')") + " AS title, substr(coalesce(lead, ''), 1, 500) AS lead FROM news_articles")
+def article_meta_all(spark, sf_dir):
+    """Title and lead of every article, out of pages with entities; null is empty."""
+    page = F.concat(F.lit("<head><title>"), _escaped("title"), F.lit('</title><meta name="description" content="'), _escaped("lead"), F.lit('"></head>'))
+    return read(spark, sf_dir, "news_articles").select("row_id", parsers.article_meta(page).alias("m")).select("row_id", "m.title", "m.lead")
+
+
 @query("SELECT row_id, CASE WHEN category IN ('Chứng khoán', 'Ngân hàng') THEN CASE category WHEN 'Chứng khoán' THEN 'stocks' ELSE 'banks' END ELSE '' END AS section FROM news_articles")
 def breadcrumb_section(spark, sf_dir):
     slug = F.when(F.col("category") == "Chứng khoán", "stocks").when(F.col("category") == "Ngân hàng", "banks").otherwise("other")
@@ -98,6 +124,14 @@ def html_body(spark, sf_dir):
     return docs.select("doc_id", (parsers.html_body(page) != "").alias("found"))
 
 
+@query(f"SELECT doc_id, length(b) AS chars, md5(b) AS body_md5 FROM (SELECT doc_id, CASE WHEN length(t) >= 200 THEN t ELSE '' END AS b FROM (SELECT doc_id, {_STRIP.format("coalesce(text, '')")} AS t FROM documents))")
+def html_body_text(spark, sf_dir):
+    """Length and hash of the body found in the page around every document; '' under 200 characters."""
+    page = F.concat(F.lit("<html><body><nav>menu</nav><article><p>"), _escaped("text"), F.lit("</p><script>var x;</script></article></body></html>"))
+    bodies = read(spark, sf_dir, "documents").select("doc_id", parsers.html_body(page).alias("body"))
+    return bodies.select("doc_id", F.length("body").cast("long").alias("chars"), F.md5("body").alias("body_md5"))
+
+
 @query("SELECT strftime(date, '%Y-%m-%d') AS day, close, volume FROM index_prices")
 def price_payload(spark, sf_dir):
     row = F.to_json(F.array(F.struct(F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T00:00:00+07:00")).alias("date"), "close", "volume")))

@@ -35,6 +35,31 @@ def test_html_links_of_all_rows(spark, tmp_path):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+HARD = ["", None, 'A "quoted" & <b>bold</b> \'x\'', "&amp; stays, &nbsp; too", "1 < 2 > 0", "</title></p></a><script>x()</script>", "plain"]
+
+
+def test_pages_of_hard_values(spark, tmp_path):
+    """Values with markup, entities and quotes, and nulls, come out of the pages as they are."""
+    news = [(n, t, u) for n, (t, u) in enumerate((t, u) for t in HARD for u in HARD)]
+    spark.createDataFrame(news, "row_id long, title string, lead string").write.parquet(f"{tmp_path}/news_articles.parquet")
+    got = {r["row_id"]: (r["title"], r["lead"]) for r in payloads.article_meta_all(spark, str(tmp_path)).collect()}
+    assert got == {n: (t or "", u or "") for n, t, u in news}
+    records_ = [(n, "ABC", t) for n, t in enumerate(HARD)] + [(90, None, "x"), (91, "abc", "x")]
+    spark.createDataFrame(records_, "row_id long, company_code string, title string").write.parquet(f"{tmp_path}/objective_records.parquet")
+    got = {r["row_id"]: (r["ticker"], r["title"]) for r in payloads.notice_links_all(spark, str(tmp_path)).collect()}
+    assert got == {n: ("ABC", t) for n, t in enumerate(HARD) if t}
+
+
+def test_body_text_of_every_document(spark, tmp_path):
+    import hashlib
+
+    docs = [(n, t if t is None else f" {t} " * (300 if n % 2 else 1)) for n, t in enumerate([*HARD, *HARD])]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["chars"], r["body_md5"]) for r in payloads.html_body_text(spark, str(tmp_path)).collect()}
+    bodies = {n: t.strip() if t and len(t.strip()) >= 200 else "" for n, t in docs}
+    assert got == {n: (len(b), hashlib.md5(b.encode()).hexdigest()) for n, b in bodies.items()} and sum(map(bool, bodies.values())) > 3
+
+
 def test_counters_add_up(spark, sf_dir):
     n = {r["counter"]: r["n"] for r in records.objective_counters(spark, sf_dir).collect()}
     assert n["read"] == n["utc_rejected"] + n["universe_rejected"] + n["kept"] + n["deduped"]
