@@ -130,6 +130,16 @@ def test_recall_in_a_crowd_of_edited_versions(spark):
     assert true.sum() > 1_000_000 and (found & true).sum() >= 0.97 * true.sum()
 
 
+def test_unrelated_long_sets_share_nothing():
+    """Distinct shingles stay distinct in the check, over sets of many thousand."""
+    import numpy as np
+
+    rng = np.random.RandomState(6)
+    a, b = (rng.randint(0, 2**63, 20_000, np.uint64) * np.uint64(2) for _ in range(2))
+    assert nearcopies._jaccard(nearcopies._packed(a), nearcopies._packed(b)) == 0
+    assert len(nearcopies._unpacked(nearcopies._packed(a))) == len(a)
+
+
 def test_large_regions_are_compared_in_blocks(spark, monkeypatch):
     """The same pairs whether a task compares a region or its blocks are spread."""
     import numpy as np
