@@ -53,12 +53,15 @@ def template(line: str) -> str:
     return line.strip()
 
 
-def features(tail: str, limit: int, common: bool) -> list[int]:
-    """Hashed features of an end of text; limit: 0 none, 1 a byte limit, 2 a character limit of the source."""
+def features(tail: str, limit: int, common: bool, whole_line: str, tag: bool) -> list[int]:
+    """Hashed features of an end of text; limit: 0 none, 1 a byte limit, 2 a character limit of the source.
+
+    whole_line is the last line and tag whether a tag is open, both of the whole text.
+    """
     text = tail.rstrip()
     mark = _OMISSION.search(text)
     bare = text[: mark.start()].rstrip() if mark else text
-    line = text.rsplit("\n", 1)[-1].strip()
+    line = whole_line.strip()
     bracketed = not mark and bool(_BRACKETED.match(line))
     if bracketed:  # whose credit it is does not matter
         common, line = True, line[0] + line[1:].split(" ", 1)[0] + line[-1]
@@ -73,7 +76,7 @@ def features(tail: str, limit: int, common: bool) -> list[int]:
         "bias", f"end {shape}", f"mark {bool(mark)}", f"limit {limit}", f"line {own}", f"{shape} {own}", f"{shape} mark {bool(mark)}",
         f"limit {limit} {shape}", f"mark {bool(mark)} {own}", f"words {min(len(words), 12)} {ended}", f"w1 {' '.join(words[-1:])}",
         f"w2 {' '.join(words[-2:])}", f"start {' '.join(words[:2])} {ended}", f"template {template(line)[:120] if common else ''}",
-        f"tag {bool(_OPEN_TAG.search(bare))}", f"entity {bool(_OPEN_ENTITY.search(bare))}",
+        f"tag {tag}", f"entity {bool(_OPEN_ENTITY.search(bare))}",
     ]
     return [zlib.crc32(n.encode()) % DIMENSIONS for n in names]
 
@@ -104,8 +107,27 @@ def common_closings(df: DataFrame, text: str) -> DataFrame:
     return counted.crossJoin(F.broadcast(rows)).where((F.col("n") >= COMMON_ROWS) & (F.col("n") >= F.col("least"))).select("closing")
 
 
+#: What str.rstrip() takes off.
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def _stripped(text: Column) -> Column:
+    return F.rtrim(text, F.lit(_BLANKS))
+
+
 def _last_line(text: Column) -> Column:
-    return F.substring_index(F.regexp_replace(text, r"\s+$", ""), "\n", -1)
+    return F.substring_index(_stripped(text), "\n", -1)
+
+
+def _tag_open(text: Column) -> Column:
+    """_OPEN_TAG over a whole text."""
+    after = F.substring_index(text, "<", -1)
+    return F.contains(text, F.lit("<")) & after.rlike("^[A-Za-z/!]") & ~F.contains(after, F.lit(">"))
+
+
+def _end_features(text: str, limit: int, common: bool) -> list[int]:
+    """features() of a whole text, without white space after it."""
+    return features(text[-TAIL:], limit, common, text.rsplit("\n", 1)[-1], bool(_OPEN_TAG.search(text)))
 
 
 def _cuts(limits: dict[str, list[tuple[int, int]]], common: set[str]):
@@ -123,7 +145,7 @@ def _cuts(limits: dict[str, list[tuple[int, int]]], common: set[str]):
                 at = _at_limit(text, known)
                 if not stripped or (at and not _ENDED.search(stripped)) or not (closing or _ENDED.search(stripped)) or _OMISSION.search(stripped) and not closing:
                     continue  # not known to be intact
-                out.append((key, 0, features(text[-TAIL:], at, closing)))
+                out.append((key, 0, _end_features(stripped, at, closing)))
                 for _ in range(2):
                     fitting = [(k, x) for k, x in known if (x if k == 2 else x * 4) < len(text) - 1]
                     if fitting and rng.rand() < 0.5:
@@ -140,7 +162,7 @@ def _cuts(limits: dict[str, list[tuple[int, int]]], common: set[str]):
                         continue
                     marked = "" if rng.rand() < 0.7 or inside else (" […]", "…", " (...)", "...", " …")[rng.randint(5)]
                     ended_line = (bare + marked).rsplit("\n", 1)[-1]
-                    out.append((key, 0 if inside else 1, features((cut if not marked else bare + marked)[-TAIL:], k, template(ended_line) in common)))
+                    out.append((key, 0 if inside else 1, _end_features(bare + marked, k, template(ended_line) in common)))
             yield pd.DataFrame(out, columns=["k", "label", "f"])
 
     return make
@@ -194,23 +216,22 @@ def score_ends(df: DataFrame, key: str, text: str, source: str, train_rows: int
     weights = train(rows.sort_values(["k", "label"], kind="stable").reset_index(drop=True))
 
     @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for tail, src, chars, size in batches:
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for tail, last, tags, src, chars, size in batches:
             out = []
-            for t, s, n, b in zip(tail, src, chars, size):
-                stripped = t.rstrip()
-                if not stripped:
+            for t, line, tag, s, n, b in zip(tail, last, tags, src, chars, size):
+                if not t:
                     out.append(None)
                     continue
                 of = known.get(s, [])
                 at = 2 if (2, n) in of else 1 if (1, b // 4) in of else 0
-                f = features(t, at, template(stripped.rsplit("\n", 1)[-1]) in closings)
+                f = features(t, at, template(line) in closings, line, bool(tag))
                 out.append(float(1 / (1 + np.exp(-weights[f].sum()))))
             yield pd.Series(out, dtype="float64")
 
-    n = _lengths(df, text, source)
-    tail = F.right(F.col("__t"), F.lit(TAIL))
-    return n.select(F.col(key), F.col(source).alias("source"), score(tail, "__s", "__chars", "__bytes").alias("score"))
+    n = _lengths(df, text, source).withColumn("__end", _stripped(F.col("__t")))
+    tail, line = F.right(F.col("__end"), F.lit(TAIL)), F.substring_index("__end", "\n", -1)
+    return n.select(F.col(key), F.col(source).alias("source"), score(tail, line, _tag_open(F.col("__end")), "__s", "__chars", "__bytes").alias("score"))
 
 
 def truncation_by_source(scored: DataFrame, least: float = 0.5) -> DataFrame:

@@ -170,3 +170,18 @@ def test_ends_of_empty_and_odd_texts(spark):
     assert cutoff.score_ends(df.limit(0), "doc_id", "text", "source").count() == 0
     shares = {r["source"]: r["texts"] for r in cutoff.truncation_by_source(cutoff.score_ends(df, "doc_id", "text", "source")).collect()}
     assert shares == {"s": 4, None: 1}
+
+
+def test_ends_far_back_are_seen(spark):
+    """White space after a text, and a tag that opened long before its end, count as they would close by."""
+    rng = random.Random(8)
+    sentence = lambda: " ".join(rng.choice(["giá", "cổ", "phiếu", "tăng", "mạnh", "hôm", "nay"]) for _ in range(9)) + ". "
+    link = lambda: f'<a href="{"x" * rng.randrange(100, 900)}">tin</a> '
+    texts = ["".join(sentence() + link() for _ in range(6)) + sentence() for _ in range(300)]
+    cut = "".join(sentence() for _ in range(5)) + "Giá cổ phiếu tăng"
+    filler = "x" * 700
+    texts += [cut, cut + " \n\u00a0" * 400, f"Tin. <a href={filler}", f"Tin. (a href={filler}", " " * 900]
+    df = spark.createDataFrame([(k, t, "s") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["score"] for r in cutoff.score_ends(df, "doc_id", "text", "source").collect()}
+    assert got[301] is not None and got[301] == got[300] and got[304] is None
+    assert got[302] > got[303]
