@@ -94,6 +94,13 @@ def listing_cards(spark, sf_dir):
     return read(spark, sf_dir, "news_articles").select("row_id", F.explode(parsers.cards(page, '<div class="card" href=', 80)).alias("card"))
 
 
+@query("SELECT row_id, substr('\"' || coalesce(url, '') || '\">' || coalesce(title, ''), 1, 3000) AS card FROM news_articles")
+def listing_cards_full(spark, sf_dir):
+    """Cards of the size that SSI's listings are cut to."""
+    page = F.concat(F.lit('<div>x</div><div class="card" href="'), _s("url"), F.lit('">'), _s("title"))
+    return read(spark, sf_dir, "news_articles").select("row_id", F.explode(parsers.cards(page, '<div class="card" href=', 3000)).alias("card"))
+
+
 @query("SELECT row_id, " + _SQUASH.format("title") + " AS title, substr(lead, 1, 500) AS lead FROM news_articles WHERE NOT regexp_matches(coalesce(title, '<') || coalesce(lead, '<'), '[<&\"'']')")
 def article_meta(spark, sf_dir):
     page = F.concat(F.lit("<head><title>"), F.col("title"), F.lit('</title><meta name="description" content="'), F.col("lead"), F.lit('"></head>'))

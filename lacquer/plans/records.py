@@ -286,6 +286,13 @@ def report_date(spark, sf_dir):
     return news.select("row_id", F.date_format(dates.report_date(F.col("pub_date")), "yyyy-MM-dd").alias("day"))
 
 
+@query("""SELECT row_id, strftime(coalesce(try_strptime(nullif(regexp_extract(trim(pub_date), '^(\\d{1,2}/\\d{1,2}/\\d{4})$', 1), ''), '%d/%m/%Y'), try_strptime(nullif(regexp_extract(trim(pub_date), '^(\\d{1,2}/\\d{1,2}/\\d{2})$', 1), ''), '%d/%m/%y')), '%Y-%m-%d') AS day
+FROM news_articles""")
+def report_date_all(spark, sf_dir):
+    """The day of every article, null where the value is no d/m/y."""
+    return read(spark, sf_dir, "news_articles").select("row_id", F.date_format(dates.report_date(F.col("pub_date")), "yyyy-MM-dd").alias("day"))
+
+
 @query("""SELECT row_id, coalesce(strftime(make_timestamp(CAST(floor(CAST(nullif(regexp_extract(publish_time, '/Date\\((-?\\d+)\\)/', 1), '') AS BIGINT) / 1000) AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%SZ'), '') AS utc FROM objective_records""")
 def vendor_date(spark, sf_dir):
     return read(spark, sf_dir, "objective_records").select("row_id", dates.vendor_date(F.coalesce("publish_time", F.lit(""))).alias("utc"))

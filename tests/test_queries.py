@@ -60,6 +60,15 @@ def test_body_text_of_every_document(spark, tmp_path):
     assert got == {n: (len(b), hashlib.md5(b.encode()).hexdigest()) for n, b in bodies.items()} and sum(map(bool, bodies.values())) > 3
 
 
+def test_every_article_has_a_day_and_a_whole_card(spark, tmp_path):
+    days = {"05/03/2024": "2024-03-05", " 5/3/24 ": "2024-03-05", "31/02/2024": None, "24/11/2024 10:00": None, "2024-11-24T01:00:00Z": None, "": None, None: None}
+    rows = [(n, d, "t" * (n * 700)) for n, d in enumerate(days)]
+    spark.createDataFrame(rows, "row_id long, pub_date string, title string").selectExpr("*", "'https://a.example/1' as url").write.parquet(f"{tmp_path}/news_articles.parquet")
+    assert {r["row_id"]: r["day"] for r in records.report_date_all(spark, str(tmp_path)).collect()} == dict(enumerate(days.values()))
+    cards = {r["row_id"]: r["card"] for r in payloads.listing_cards_full(spark, str(tmp_path)).collect()}
+    assert cards == {n: ('"https://a.example/1">' + t)[:3000] for n, _, t in rows}
+
+
 def test_counters_add_up(spark, sf_dir):
     n = {r["counter"]: r["n"] for r in records.objective_counters(spark, sf_dir).collect()}
     assert n["read"] == n["utc_rejected"] + n["universe_rejected"] + n["kept"] + n["deduped"]
