@@ -1,10 +1,10 @@
 """Filling fixed-capacity containers with texts of varying length.
 
 Method: the global histogram of lengths (at most `capacity` rows, whatever the number
-of texts) goes to the driver; dynamic programming picks the length buckets of least
-padding, and token-budget batches form inside each bucket.  Batches of one bucket
-alone leave much room where texts are long for the container, so a bucket's texts
-first top up the fullest batches of longer buckets in which they fit.  The plan is a
+of texts) goes to the driver.  Lengths are visited from long to short and each text
+goes to the fullest container in which it fits: best-fit decreasing.  The length
+buckets of the dynamic programme don't change that order, so they change no row;
+batches inside the buckets alone leave much room (README).  The plan is a
 short list of slot intervals per length; each text finds its container by its rank
 among texts of its length, so nothing is sorted globally and no text is moved twice.
 """
