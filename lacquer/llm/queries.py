@@ -24,6 +24,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def p1_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_text and body without the page's lines."""
+    parts = []
+    for tbl, text in (("objective_records", "raw_text"), ("news_articles", "body")):
+        main = mainbody.main_body(_table(spark, sf_dir, tbl), text, "title")
+        parts.append(main.select(F.lit(tbl).alias("tbl"), "row_id", "main_body"))
+    return parts[0].unionByName(parts[1])
+
+
 P2_FIELDS = ["title", "company_code", "company_name", "publish_time", "category", "attachment_urls"]
 
 
@@ -99,6 +108,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated.repeated_lines(_table(spark, sf_dir, "news_articles"), "row_id", "source", "body")
 
 
+def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies without the lines that are excessive within their source."""
+    return repeated.without_repeated_lines(_table(spark, sf_dir, "news_articles"), "row_id", "source", "body").select("row_id", "clean_text")
+
+
 P4_SQL = """
 WITH l AS (
   SELECT row_id, source, unnest(string_split(body, chr(10))) AS x, generate_subscripts(string_split(body, chr(10)), 1) AS line_no
@@ -139,6 +153,12 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textform.find_inconsistent(_table(spark, sf_dir, "objective_records"), "row_id", ["title", "raw_text", "company_name"])
 
 
+def p7_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, text and company name of every record in consistent form."""
+    fields = ["title", "raw_text", "company_name"]
+    return _table(spark, sf_dir, "objective_records").select("row_id", *(textform.consistent_form(f).alias(f) for f in fields))
+
+
 def _token_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of all documents, computed once."""
     docs = _table(spark, sf_dir, "documents")
@@ -187,15 +207,18 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p1_main": p1_main,
     "p2_found": p2_found,
     "p2_merged": p2_merged,
     "p2_untimed": p2_untimed,
     "p3_found": p3_found,
     "p3_restored": p3_restored,
     "p4_found": p4_found,
+    "p4_clean": p4_clean,
     "p5_found": p5_found,
     "p5_classes": p5_classes,
     "p7_found": p7_found,
+    "p7_form": p7_form,
     "p8_packed": p8_packed,
     "p8_usage": p8_usage,
     "p9_mix": p9_mix,

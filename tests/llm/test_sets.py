@@ -21,6 +21,30 @@ def test_runs(name, spark, sf_dir):
     assert queries.QUERIES[name](spark, sf_dir).count() > 0
 
 
+def test_whole_tables_in_clean_form(spark, sf_dir):
+    """p1_main, p4_clean and p7_form: a row per record, without just what the found queries list."""
+    table = lambda t: {r["row_id"]: r for r in spark.read.parquet(f"{sf_dir}/{t}.parquet").collect()}
+    news, records = table("news_articles"), table("objective_records")
+
+    def without(text, drop):
+        return None if text is None else "\n".join(x for n, x in enumerate(text.split("\n"), 1) if n not in drop)
+
+    lines = Counter()
+    for r in queries.p1_found(spark, sf_dir).collect():
+        lines[r["tbl"], r["row_id"], r["line_no"]] += 1
+    got = {(r["tbl"], r["row_id"]): r["main_body"] for r in queries.p1_main(spark, sf_dir).collect()}
+    texts = {("news_articles", k): r["body"] for k, r in news.items()} | {("objective_records", k): r["raw_text"] for k, r in records.items()}
+    drop = {k: {n for *at, n in lines if tuple(at) == k} for k in texts}
+    assert lines and got == {k: without(t, drop[k]) for k, t in texts.items()}
+    found = {(r["row_id"], r["line_no"]) for r in queries.p4_found(spark, sf_dir).collect()}
+    got = {r["row_id"]: r["clean_text"] for r in queries.p4_clean(spark, sf_dir).collect()}
+    assert found and got == {k: without(r["body"], {n for i, n in found if i == k}) for k, r in news.items()}
+    found = {(r["row_id"], r["field_name"]) for r in queries.p7_found(spark, sf_dir).collect()}
+    got = {r["row_id"]: r for r in queries.p7_form(spark, sf_dir).collect()}
+    fields = ("title", "raw_text", "company_name")
+    assert found == {(k, f) for k, r in records.items() for f in fields if got[k][f] != r[f]} and set(got) == set(records)
+
+
 # survivors
 
 
