@@ -1,18 +1,18 @@
 """Filling fixed-capacity containers with texts of varying length.
 
 Method: the global histogram of lengths (at most `capacity` rows, whatever the number
-of texts) goes to the driver.  Lengths are visited from long to short and each text
-goes to the fullest container in which it fits: best-fit decreasing.  The length
-buckets of the dynamic programme don't change that order, so they change no row;
-batches inside the buckets alone leave much room (README).  The plan is a
-short list of slot intervals per length; each text finds its container by its rank
+of texts) goes to the driver.  Dynamic programming over the whole histogram chooses the
+length buckets of least padding, and token-budget batches form inside each bucket.  In
+a second step the batches that are not full, and as many full ones of the shortest
+buckets as save containers, are taken apart and packed best-fit decreasing.  The plan is
+a short list of slot intervals per length; each text finds its container by its rank
 among texts of its length, so nothing is sorted globally and no text is moved twice.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -20,101 +20,151 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Buckets of the dynamic programme, candidate boundaries it looks at, ranking salts.
-BUCKETS, BOUNDARIES, SALTS = 32, 384, 64
+#: Buckets of the dynamic programme, ranking salts, steps in which full batches are tried apart.
+BUCKETS, SALTS, STEPS = 32, 64, 16
+#: A batch is full if its room is at most this share of the capacity.
+ROOM = 1 / 256
 
 
-def length_buckets(histogram: dict[int, int], buckets: int = BUCKETS, boundaries: int = BOUNDARIES) -> list[int]:
+def length_buckets(histogram: dict[int, int], buckets: int = BUCKETS) -> list[int]:
     """Upper bounds of at most `buckets` length buckets with the least total padding.
 
-    Exact over the distinct lengths if there are at most `boundaries`; else over that
-    many quantiles of them.  An empty histogram has no buckets.
+    Exact over all distinct lengths.  The padding of a bucket from boundary i to j is
+    top[j] * (n[j] - n[i]) - (w[j] - w[i]): for each i a line in top[j], with slopes that
+    fall as i grows, so the best i is walked along the lower hull and a round takes time
+    in proportion to the lengths.  An empty histogram has no buckets.
     """
-    lengths = np.array(sorted(histogram), np.int64)
-    if not len(lengths):
+    lengths = sorted(histogram)
+    if not lengths:
         return []
-    counts = np.array([histogram[x] for x in lengths], np.float64)
-    pick = np.unique(np.linspace(0, len(lengths) - 1, min(boundaries, len(lengths))).astype(int))
-    n = np.concatenate([[0], np.cumsum(counts)[pick]])
-    w = np.concatenate([[0], np.cumsum(counts * lengths)[pick]])
-    top = lengths[pick].astype(np.float64)
-    # padding of a bucket that starts after boundary i and ends with boundary j
-    cost = top[None, :] * (n[None, 1:] - n[:-1, None]) - (w[None, 1:] - w[:-1, None])
-    cost[np.tril_indices(len(pick), -1)] = np.inf
-    best, came = cost[0].copy(), []
-    for _ in range(min(buckets, len(pick)) - 1):
-        through = best[:-1, None] + cost[1:, 1:]
-        last = through.argmin(0)
-        shorter = through[last, np.arange(len(last))]
-        use = shorter < best[1:] - 1e-9
-        came.append(np.where(use, last, -1))
-        best = np.concatenate([best[:1], np.where(use, shorter, best[1:])])
-    ends, j = [], len(pick) - 1
+    n, w = [0], [0]
+    for x in lengths:
+        n.append(n[-1] + histogram[x])
+        w.append(w[-1] + x * histogram[x])
+    size = len(lengths)
+    best = [0] + [lengths[j - 1] * n[j] - w[j] for j in range(1, size + 1)]  # one bucket
+    came = []
+    for _ in range(min(buckets, size) - 1):
+        hull: list[int] = []  # boundaries i whose line is lowest somewhere
+        line = [best[i] + w[i] for i in range(size + 1)]  # at slope -n[i]
+        head, after, back = 0, best[:], [-1] * (size + 1)
+        for j in range(2, size + 1):
+            i = j - 1
+            while len(hull) - head >= 2:  # the last line is needless if the new one passes it first
+                p, q = hull[-2], hull[-1]
+                if (line[i] - line[p]) * (n[q] - n[p]) <= (line[q] - line[p]) * (n[i] - n[p]):
+                    hull.pop()
+                else:
+                    break
+            hull.append(i)
+            x = lengths[j - 1]
+            while len(hull) - head >= 2 and line[hull[head + 1]] - x * n[hull[head + 1]] <= line[hull[head]] - x * n[hull[head]]:
+                head += 1
+            i = hull[head]
+            padding = x * n[j] - w[j] + line[i] - x * n[i]
+            if padding < after[j]:
+                after[j], back[j] = padding, i
+        came.append(back)
+        best = after
+    ends, j = [], size
     for back in reversed(came):
-        ends.append(j)
-        step = back[j - 1] if j else -1
-        if step < 0:
-            continue
-        j = int(step)
-    ends.append(j)
-    return sorted({int(top[e]) for e in ends} | {int(top[-1])})
+        if back[j] >= 0:
+            ends.append(j)
+            j = back[j]
+    return sorted(lengths[e - 1] for e in [*ends, j])
 
 
-def plan_containers(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int]], int]:
-    """(slots, containers): slots are (length, first rank, number, first container).
+#: Alike containers: how many, what each holds as nested (length, rest), and the room left in each.
+Batch = tuple[int, tuple, int]
 
-    The texts of one length with ranks first..first+number-1 go to consecutive
-    containers.  Groups of alike containers are filled together, so the work depends
-    on the distinct lengths, not on the number of texts.
+
+def fill(histogram: dict[int, int], capacity: int) -> list[Batch]:
+    """Best-fit decreasing over a histogram, alike containers filled together.
+
+    The work depends on the distinct lengths, not on the number of texts.
     """
-    taken: dict[int, int] = defaultdict(int)
-    slots: list[tuple[int, int, int, int]] = []
     rooms: list[int] = []  # distinct rooms left, ascending
-    groups: dict[int, list[tuple[int, int]]] = defaultdict(list)  # room -> (first container, number)
-    opened = 0
+    groups: dict[int, list[tuple[int, tuple]]] = defaultdict(list)
 
-    def leave(room: int, first: int, number: int) -> None:
-        if room <= 0:
-            return
+    def leave(room: int, number: int, content: tuple) -> None:
         if not groups[room]:
             insort(rooms, room)
-        groups[room].append((first, number))
-
-    def put(length: int, first: int, number: int) -> None:
-        slots.append((length, taken[length], number, first))
-        taken[length] += number
-
-    ends = length_buckets(histogram)
-    for k in range(len(ends) - 1, -1, -1):
-        low = ends[k - 1] if k else 0
-        for length in sorted((x for x in histogram if low < x <= ends[k]), reverse=True):
-            left = histogram[length]
-            while left:
-                i = bisect_left(rooms, length)
-                if i == len(rooms):
-                    break
-                room = rooms[i]
-                first, number = groups[room].pop()
-                if not groups[room]:
-                    rooms.pop(i)
-                use = min(left, number)
-                put(length, first, use)
-                left -= use
-                leave(room - length, first, use)
-                if number > use:
-                    leave(room, first + use, number - use)
-            if left:  # a batch of this length: as many as the budget holds
-                each = max(1, capacity // length)
-                whole, rest = divmod(left, each)
-                for _ in range(each if whole else 0):
-                    put(length, opened, whole)
-                leave(capacity - each * length, opened, whole) if whole else None
-                opened += whole
-                for _ in range(rest):
-                    put(length, opened, 1)
-                if rest:
-                    leave(capacity - rest * length, opened, 1)
-                    opened += 1
+        groups[room].append((number, content))
+
+    for length in sorted(histogram, reverse=True):
+        left = histogram[length]
+        while left:
+            i = bisect_left(rooms, length)
+            if i == len(rooms):
+                break
+            room = rooms[i]
+            number, content = groups[room].pop()
+            if not groups[room]:
+                rooms.pop(i)
+            use = min(left, number)
+            left -= use
+            if number > use:
+                leave(room, number - use, content)
+            leave(room - length, use, (length, content))
+        each = capacity // length
+        for many, number in ((each, left // each), (left % each, 1)):  # new containers of this length alone
+            if many and number:
+                content: tuple = ()
+                for _ in range(many):
+                    content = (length, content)
+                leave(capacity - many * length, number, content)
+    return [(number, content, room) for room, held in groups.items() for number, content in held]
+
+
+def lengths_of(batches: list[Batch]) -> Counter:
+    """Histogram of what the batches hold."""
+    out: Counter = Counter()
+    for number, content, _ in batches:
+        while content:
+            out[content[0]] += number
+            content = content[1]
+    return out
+
+
+def bucket_batches(histogram: dict[int, int], capacity: int, ends: list[int]) -> list[list[Batch]]:
+    """First step: batches of the token budget formed inside each bucket alone, shortest bucket first."""
+    edges = [0, *ends]
+    return [fill({x: c for x, c in histogram.items() if low < x <= high}, capacity) for low, high in zip(edges, edges[1:])]
+
+
+def plan_containers(histogram: dict[int, int], capacity: int, ends: list[int] | None = None) -> tuple[list[tuple[int, int, int, int]], int]:
+    """(slots, containers): slots are (length, first rank, number, first container).
+
+    The texts of one length with ranks first..first+number-1 go to consecutive
+    containers.  `ends` are the buckets, by default those of least padding.
+    """
+    buckets = bucket_batches(histogram, capacity, length_buckets(histogram) if ends is None else ends)
+    batches = [b for bucket in buckets for b in bucket]
+    full, open_ = ([b for b in batches if (b[2] <= capacity * ROOM) == is_full] for is_full in (True, False))
+    rest, total = lengths_of(open_), sum(b[0] for b in full)
+    best = None
+    tried = sorted({total * k // STEPS for k in range(STEPS + 1)})
+    for apart in tried:  # all apart is best-fit decreasing over everything, so the plan is never behind it
+        pool, kept, left = Counter(rest), [], apart
+        for number, content, room in full:  # shortest bucket first
+            use = min(left, number)
+            left -= use
+            if use:
+                pool.update(lengths_of([(use, content, room)]))
+            if number > use:
+                kept.append((number - use, content, room))
+        packed = kept + fill(pool, capacity)
+        containers = sum(b[0] for b in packed)
+        if best is None or containers < best[0]:
+            best = (containers, packed)
+    taken: dict[int, int] = defaultdict(int)
+    slots, opened = [], 0
+    for number, content, _ in best[1]:
+        while content:
+            length, content = content
+            slots.append((length, taken[length], number, opened))
+            taken[length] += number
+        opened += number
     return slots, opened
 
 
@@ -145,7 +195,7 @@ def pack(sizes: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
         by_length[length].append((first, container))
     for length, pairs in by_length.items():
         pairs.sort()
-        table[length] = (np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]))
+        table[length] = (np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64))
 
     @F.pandas_udf(T.LongType())
     def container_of(length: pd.Series, rank: pd.Series) -> pd.Series:

@@ -56,7 +56,7 @@ P2_NOW = "2026-07-01"
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that supplies each field of each group of records with one checksum."""
-    best = survivors.best_rows(_record_fields(spark, sf_dir))
+    best = survivors.supplying_rows(_record_fields(spark, sf_dir), P2_FIELDS)
     return best.select(F.col("g").alias("checksum"), "field_name", F.col("r").alias("row_id"))
 
 
@@ -113,6 +113,11 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated.without_repeated_lines(_table(spark, sf_dir, "news_articles"), "row_id", "source", "body").select("row_id", "clean_text")
 
 
+def p4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Templates of each source's repeated lines, with slots for digits and for words."""
+    return repeated.line_templates(_table(spark, sf_dir, "news_articles"), "source", "body")
+
+
 P4_SQL = """
 WITH l AS (
   SELECT row_id, source, unnest(string_split(body, chr(10))) AS x, generate_subscripts(string_split(body, chr(10)), 1) AS line_no
@@ -215,6 +220,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_restored": p3_restored,
     "p4_found": p4_found,
     "p4_clean": p4_clean,
+    "p4_templates": p4_templates,
     "p5_found": p5_found,
     "p5_classes": p5_classes,
     "p7_found": p7_found,

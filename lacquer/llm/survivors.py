@@ -1,10 +1,13 @@
 """Best representative of each group of duplicates, field by field.
 
-Method: fields are unpivoted to long rows; each usable value votes with its source's
-trust times the decay of its age; winners are taken by max_by and pivoted back.  Votes
-are sums and winners maxima, so both are combined before the shuffle and a group of
-any size meets in one small row.  Where a strict order of preference is wanted instead
-of a vote (`order`), the same long rows are ranked by it.
+Method: fields are unpivoted to long rows; each usable row votes for its normalised
+value with its source's trust times the decay of its age; votes are summed per value,
+winners taken by max_by and pivoted back.  Votes are sums and winners maxima, so both
+are combined before the shuffle and a group of any size meets in a few small rows.
+
+Where a strict order of preference must decide, its ranks are the weights: each rank
+outweighs all lower ones together (as powers of two do), so the sum of a value's votes
+compares as the largest of them, and that is how it is summed (`strict`).
 """
 
 from __future__ import annotations
@@ -61,33 +64,44 @@ def long_rows(df: DataFrame, group: Column, row: str, weight: Column, order: Col
     return wide.select("g", "r", "weight", "o", F.inline("fs"))
 
 
-def best_rows(long: DataFrame, min_rows: int = 2) -> DataFrame:
-    """(g, field_name, r): the row that supplies each field, by `more`, then `o`.
+def voted_values(long: DataFrame, min_rows: int = 2, strict: bool = False) -> DataFrame:
+    """(g, field_name, value, r): the value with the most votes and the row that supplies it.
 
-    Groups of fewer than min_rows rows and fields without a usable value give no row.
-    Ties cannot remain if the order ends in a unique key.
+    Values agree if they agree trimmed and in lower case; they meet by two hashes of that
+    form.  The row, and with it the written form, is the best-ranked one (`more`, then
+    `o`) that holds the winning value; equal votes go to that rank, which cannot tie if
+    it ends in a unique key.  Fields without a usable value give no row, nor do groups
+    of fewer than min_rows rows; a null group is a group.
     """
-    rank = F.when(F.col("usable"), F.struct("more", "o"))
-    best = long.groupBy("g", "field_name").agg(F.count(F.lit(1)).alias("n"), F.max_by("r", rank).alias("r"), F.max(rank).alias("top"))
-    return best.where((F.col("n") >= min_rows) & F.col("top").isNotNull()).select("g", "field_name", "r")
+    form = F.lower(F.trim("value"))
+    rank = F.struct("more", "o")
+    # strict: a vote outweighs all below it together, so a sum of votes compares as its largest
+    votes = F.max(rank) if strict else F.sum(F.round(F.col("weight") * VOTE_UNIT).cast("long"))
+    hashes = [F.when(F.col("usable"), F.xxhash64(*salt, form)).alias(n) for n, salt in (("h1", []), ("h2", [F.lit(1)]))]
+    by_value = long.groupBy("g", "field_name", *hashes).agg(
+        F.count(F.lit(1)).alias("n"), votes.alias("votes"), F.max_by(F.struct("r", "value"), rank).alias("kept"), F.max(rank).alias("rank")
+    )
+    won = F.when(F.col("h1").isNotNull(), F.struct("votes", "rank"))
+    winner = by_value.groupBy("g", "field_name").agg(F.sum("n").alias("n"), F.max_by("kept", won).alias("kept"), F.max(won).alias("top"))
+    return winner.where((F.col("n") >= min_rows) & F.col("top").isNotNull()).select("g", "field_name", "kept.value", "kept.r")
+
 
+def voted_records(long: DataFrame, fields: list[str], min_rows: int = 2, strict: bool = False) -> DataFrame:
+    """One record per group: g and, per field, the winning value, null where no row has a usable one."""
+    votes = voted_values(long, min_rows, strict)
+    return votes.groupBy("g").agg(*[F.max(F.when(F.col("field_name") == n, F.col("value"))).alias(n) for n in fields])
 
-def voted_records(long: DataFrame, fields: list[str], min_rows: int = 2) -> DataFrame:
-    """One record per group: g and, per field, the value with the most votes.
 
-    Values agree if they agree trimmed and in lower case; the written form comes from
-    the best-ranked row that holds the winning value.  Equal votes go to that rank.
+def supplying_rows(long: DataFrame, fields: list[str], min_rows: int = 2) -> DataFrame:
+    """(g, field_name, r): the row that supplies each field of the record a strict vote builds.
+
+    The record is built first, one row per group with the supplier of each field, and
+    read off field by field.
     """
-    form = F.lower(F.trim("value"))
-    votes = F.round(F.col("weight") * VOTE_UNIT).cast("long")
-    rank = F.struct("more", "o")
-    by_value = long.groupBy("g", "field_name", F.when(F.col("usable"), form).alias("form")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(votes).alias("votes"), F.max_by("value", rank).alias("value"), F.max(rank).alias("rank")
-    )
-    won = F.when(F.col("form").isNotNull(), F.struct("votes", "rank"))
-    winner = by_value.groupBy("g", "field_name").agg(F.sum("n").alias("n"), F.max_by("value", won).alias("value"), F.max(won).alias("top"))
-    winner = winner.where(F.col("n") >= min_rows).select("g", "field_name", F.when(F.col("top").isNotNull(), F.col("value")).alias("value"))
-    return winner.groupBy("g").agg(*[F.max(F.when(F.col("field_name") == n, F.col("value"))).alias(n) for n in fields])
+    votes = voted_values(long, min_rows, strict=True)
+    records = votes.groupBy("g").agg(*[F.max(F.when(F.col("field_name") == n, F.col("r"))).alias(f"r{i}") for i, n in enumerate(fields)])
+    named = F.array(*[F.struct(F.lit(n).alias("field_name"), F.col(f"r{i}").alias("r")) for i, n in enumerate(fields)])
+    return records.select("g", F.inline(named)).where("r is not null")
 
 
 def record_weight(tier: Column, crawled: Column, now: Column, half_life: float = HALF_LIFE_DAYS) -> Column:

@@ -59,11 +59,13 @@ def test_votes_and_order(spark):
     order = F.struct(survivors.tier_rank(F.col("tier")).alias("t"), (-F.col("row_id")).alias("i"))
     weight = survivors.record_weight(F.col("tier"), F.lit(None).cast("date"), F.lit("2026-01-01").cast("date"))
     long = survivors.long_rows(df, F.col("g"), "row_id", weight, order, fields)
-    best = {(r["g"], r["field_name"]): r["r"] for r in survivors.best_rows(long).collect()}
+    best = {(r["g"], r["field_name"]): r["r"] for r in survivors.supplying_rows(long, ["name", "urls"]).collect()}
     assert best == {("c", "name"): 3, ("c", "urls"): 4, (None, "name"): 6}
     merged = {r["g"]: (r["name"], r["urls"]) for r in survivors.voted_records(long, ["name", "urls"]).collect()}
     assert merged["c"][0] == "A " and merged[None] == ("n", None)  # two of tier2 outvote one of tier1
-    assert survivors.best_rows(long.limit(0)).count() == 0
+    strict = {r["g"]: (r["name"], r["urls"]) for r in survivors.voted_records(long, ["name", "urls"], strict=True).collect()}
+    assert strict["c"] == ("B", '["u","w"]') and strict[None] == ("n", None)
+    assert survivors.supplying_rows(long.limit(0), ["name"]).count() == 0
 
 
 # near copies
@@ -217,6 +219,37 @@ def test_buckets_have_least_padding():
     assert packing.length_buckets({}) == []
 
 
+def test_buckets_of_many_lengths():
+    """As exact over thousands of lengths as the plain quadratic programme."""
+    import numpy as np
+
+    rng = np.random.RandomState(2)
+    histogram = {int(x): int(c) for x, c in zip(rng.choice(np.arange(1, 4000), 700, replace=False), rng.randint(1, 90, 700))}
+    x = np.array(sorted(histogram))
+    n, w = np.cumsum([0, *(histogram[v] for v in x)]), np.cumsum([0, *(histogram[v] * v for v in x)])
+    best = np.array([0, *(x * n[1:] - w[1:])], float)
+    for k in (2, 3, 4, 5):
+        best = np.array([0, *(min(best[i] + x[j - 1] * (n[j] - n[i]) - (w[j] - w[i]) for i in range(j)) for j in range(1, len(x) + 1))])
+        ends = np.array(packing.length_buckets(histogram, k))
+        assert len(ends) == k and sum(histogram[v] * (ends[np.searchsorted(ends, v)] - v) for v in x) == best[-1]
+
+
+def test_buckets_decide_the_batches():
+    """First-step batches keep to their bucket; other buckets give another plan; the second step is never behind best-fit decreasing."""
+    rng = random.Random(4)
+    histogram = Counter(min(1000, int(rng.lognormvariate(5, 1)) + 1) for _ in range(20_000))
+    ends = packing.length_buckets(histogram)
+    for low, high, batches in zip([0, *ends], ends, packing.bucket_batches(histogram, 1000, ends)):
+        assert all(low < x <= high for x in packing.lengths_of(batches)) and all(0 <= room < 1000 for _, _, room in batches)
+    plan, containers = packing.plan_containers(histogram, 1000)
+    assert packing.plan_containers(histogram, 1000, ends[3::4])[0] != plan != packing.plan_containers(histogram, 1000, [1000])[0]
+    assert containers <= sum(b[0] for b in packing.fill(histogram, 1000))
+    held = Counter()
+    for length, _, number, _ in plan:
+        held[length] += number
+    assert held == histogram
+
+
 def test_mixing(spark):
     rng = random.Random(2)
     rows = [(k, rng.choices(["big", "small", "other", None], [8, 1, 1, 1])[0], rng.choice([0, 1, 5, 50, 200])) for k in range(20_000)]

@@ -147,6 +147,38 @@ def test_repeated_lines_as_by_brute_force(spark):
     assert repeated.repeated_lines(df.limit(0), "row_id", "source", "body").count() == 0
 
 
+def test_repeated_lines_by_join(spark, monkeypatch):
+    """More templates than are sent to tasks: the same lines by a join over salted sources."""
+    rows = [(k, "s" if k % 3 else None, "\n".join(f"chung {d}" if k % 2 else f"riêng dòng {k}a" for d in "abc") + "\n\nTrang 5") for k in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, source string, body string")
+    sent = sorted(tuple(r) for r in repeated.repeated_lines(df, "row_id", "source", "body").collect())
+    clean = lambda: {r["row_id"]: r["clean_text"] for r in repeated.without_repeated_lines(df, "row_id", "source", "body").collect()}
+    whole = clean()
+    monkeypatch.setattr(repeated, "SENT", 1)
+    assert sorted(tuple(r) for r in repeated.repeated_lines(df, "row_id", "source", "body").collect()) == sent and clean() == whole
+    assert set(sent) == brute_repeated(rows) and len(sent) > 100
+
+
+def test_templates_with_word_slots(spark):
+    """A line whose words vary in one place is one template; texts that only begin alike are none."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdeghiklmnopqrstuvxy", k=6))
+    names, words = [word() for _ in range(90)], [word() for _ in range(500)]
+    rows = []
+    for k in range(120):
+        own = [" ".join(rng.choices(words, k=8)) for _ in range(3)]
+        extra = [f"Theo dõi báo Lam cùng {rng.choice(names)} trên ứng dụng {k}"] if k % 2 else []
+        rows.append((k, "s", "\n".join([*own, *extra])))
+    rows += [(k, "t", f"Theo dõi báo Lam cùng {word()} trên ứng dụng {k}" if k % 70 == 0 else "") for k in range(1000, 1200)] + [(2000, None, None)]
+    df = spark.createDataFrame(rows, "row_id long, source string, body string").repartition(3)
+    got = [tuple(r) for r in repeated.line_templates(df, "source", "body", alike=0.6).collect()]
+    assert got == [("s", "theo dõi báo lam cùng * trên ứng dụng 0", 60)]
+    found = {tuple(r) for r in repeated.repeated_lines(df, "row_id", "source", "body", alike=0.6).collect()}
+    assert found == {(k, 4) for k in range(1, 120, 2)}
+    assert repeated.repeated_lines(df, "row_id", "source", "body").count() == 0
+    assert repeated.line_templates(df.limit(0), "source", "body").count() == 0
+
+
 # cut-off ends
 
 
