@@ -97,3 +97,32 @@ def month_windows(start: Column, end: Column, months: int) -> Column:
 def in_range(d: Column, start: Column, end: Column) -> Column:
     """Inclusive; a null date passes."""
     return F.coalesce(d >= start, F.lit(True)) & F.coalesce(d <= end, F.lit(True))
+
+
+def article_date(c: Column) -> Column:
+    """Date of an article's written time: ISO with or without time and offset, d/m/y, d-m-y; null otherwise.
+
+    The date is the written one, no zone is applied.  A value that begins with
+    yyyy-mm-dd is dated by that, whatever follows.
+    """
+    v = F.trim(F.coalesce(c.cast("string"), F.lit("")))
+    clock = r"\d{1,2}:\d{1,2}:\d{1,2}"
+    iso = rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}})(?:T{clock}(?:Z|[+-]\d{{2}}:?\d{{2}}(?::?\d{{2}})?)?| {clock})?$"
+    ymd = F.coalesce(F.nullif(F.regexp_extract(v, iso, 1), F.lit("")), F.regexp_extract(v, r"^(\d{4}-\d{2}-\d{2})", 1))
+    dmy = F.replace(F.regexp_extract(v, r"^(\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})$", 1), F.lit("/"), F.lit("-"))
+    return F.coalesce(_date_of(ymd, 0, 1, 2), _date_of(dmy, 2, 1, 0))
+
+
+def digest_date(c: Column) -> Column:
+    """Date of an article as the digest reads it: yyyy-mm-dd with or without a T time, or a value that begins with dd/mm/yyyy."""
+    v = F.trim(F.coalesce(c.cast("string"), F.lit("")))
+    v = F.when(F.contains(v, F.lit("T")), F.substring(v, 1, 19)).otherwise(v)
+    ymd = F.regexp_extract(v, r"^(\d{4}-\d{1,2}-\d{1,2})(?:T\d{1,2}:\d{1,2}:\d{1,2})?$", 1)
+    dmy = F.coalesce(F.nullif(F.regexp_extract(v, r"^(\d{1,2}/\d{1,2}/\d{4})$", 1), F.lit("")), F.regexp_extract(v, r"^(\d{2}/\d{2}/\d{4})", 1))
+    return F.coalesce(_date_of(ymd, 0, 1, 2), _date_of(F.replace(dmy, F.lit("/"), F.lit("-")), 2, 1, 0))
+
+
+def _date_of(text: Column, year: int, month: int, day: int) -> Column:
+    parts = F.split(text, "-")
+    at = lambda i: F.get(parts, F.lit(i))
+    return _ntz(at(year), at(month), at(day), F.lit(0), F.lit(0), F.lit(0)).cast("date")

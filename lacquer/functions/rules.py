@@ -40,6 +40,7 @@ EVENT_RULES = (
     ("chi trả cổ tức", "dividend"),
     ("chia tiền mặt", "dividend"),
 )
+# The event types.
 EVENT_TYPES = (
     "financial_statement", "board_resolution", "dividend", "stock_issuance", "stock_split", "rights_issue", "esop", "insider_trading",
     "shareholder_change", "ma", "exec_change", "agm", "bond_issuance", "foreign_ownership", "extraordinary_announcement", "other",

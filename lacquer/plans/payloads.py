@@ -3,12 +3,11 @@ writes the payload a source would have served for a row and then parses it again
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import workspace
 from ..sources import parsers, readers, specs
 from .records import read
 
@@ -42,13 +41,11 @@ _STRIP = "regexp_replace({0}, '^[\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]+|[\\s\\x0b\\x
 _SQUASH = "trim(regexp_replace({0}, '[\\s\\x1c-\\x1f\\x85\\p{{Z}}]+', ' ', 'g'))"
 
 
-@query("SELECT row_id, url, regexp_replace(coalesce(title, ''), '^\\s+|\\s+$', '', 'g') AS title, coalesce(pub_date, '') AS pub_date FROM news_articles WHERE coalesce(url, '') <> '' AND regexp_replace(coalesce(pub_date, ''), '^\\s+|\\s+$', '', 'g') = coalesce(pub_date, '')")
+@query(f"SELECT row_id, url, {_STRIP.format("coalesce(title, '')")} AS title, {_STRIP.format("coalesce(pub_date, '')")} AS pub_date FROM news_articles WHERE {_STRIP.format("coalesce(url, '')")} <> ''")
 def feed_items(spark, sf_dir):
     """Items of a feed; the second item of each feed has no link and is left out."""
     item = F.concat(F.lit("<rss><channel><item><title><![CDATA["), _s("title"), F.lit("]]></title><link>"), _s("url"), F.lit("</link><pubDate>"), _s("pub_date"), F.lit("</pubDate></item><item><title>x</title></item></channel></rss>"))
-    news = read(spark, sf_dir, "news_articles").where(F.trim(_s("pub_date")) == _s("pub_date"))
-    rows = news.select("row_id", F.inline(parsers.feed_items(item)))
-    return rows.select("row_id", "url", "title", "pub_date")
+    return read(spark, sf_dir, "news_articles").select("row_id", F.inline(parsers.feed_items(item))).select("row_id", "url", "title", "pub_date")
 
 
 @query("SELECT row_id, url, substr(coalesce(crawl_time, ''), 1, 10) AS lastmod FROM objective_records WHERE url IS NOT NULL")
@@ -68,19 +65,9 @@ def shards_in_range(spark, sf_dir):
     return rows.select(F.concat(F.substring(month, 1, 5), F.lpad(F.substring(month, 6, 2), 2, "0")).alias("day"), "n")
 
 
-@query("SELECT row_id, company_code AS ticker, " + _SQUASH.format("title") + " AS title FROM objective_records WHERE regexp_full_match(company_code, '[A-Z]{3,5}') AND trim(coalesce(title, '')) <> '' AND NOT regexp_matches(title, '[<>]')")
-def notice_links(spark, sf_dir):
-    """Notices of a listing: number, ticker and title out of link texts; menu links are left out."""
-    label = F.concat(F.col("company_code"), F.lit("0042: "), _s("title"))
-    page = F.concat(F.lit('<ul><a href="/menu">menu</a><li><a class="n" href="/ad/'), F.col("row_id"), F.lit('">'), label, F.lit('</a><a href="#">ABC0001: x</a></ul>'))
-    r = read(spark, sf_dir, "objective_records").where(F.col("company_code").rlike("^[A-Z]{3,5}$") & (F.trim(_s("title")) != "") & ~F.col("title").rlike("[<>]"))
-    rows = r.select("row_id", F.inline(parsers.notice_links(page, "https://a.example")))
-    return rows.where(F.col("url") == F.concat(F.lit("https://a.example/ad/"), F.col("row_id"))).select("row_id", "ticker", "title")
-
-
 @query("SELECT row_id, trim(company_code) AS ticker, " + _SQUASH.format("title") + " AS title FROM objective_records WHERE regexp_full_match(trim(company_code), '[A-Z]{3,5}') AND " + _SQUASH.format("coalesce(title, '')") + " <> ''")
-def notice_links_all(spark, sf_dir):
-    """notice_links with titles of any characters, out of pages with entities; a notice needs a ticker and a title."""
+def notice_links(spark, sf_dir):
+    """Notices of a listing: number, ticker and title out of link texts with entities; menu links are left out, a notice needs a ticker and a title."""
     label = F.concat(F.trim("company_code"), F.lit("0042: "), _escaped("title"))
     page = F.concat(F.lit('<ul><a href="/menu">menu</a><li><a class="n" href="/ad/'), F.col("row_id"), F.lit('">'), label, F.lit('</a><a href="#">ABC0001: x</a></ul>'))
     rows = read(spark, sf_dir, "objective_records").select("row_id", F.inline(parsers.notice_links(page, "https://a.example")))
@@ -88,28 +75,15 @@ def notice_links_all(spark, sf_dir):
     return rows.select("row_id", "ticker", text.collapse(text.unescape(F.col("title"))).alias("title"))
 
 
-@query("SELECT row_id, substr('\"' || coalesce(url, '') || '\">' || coalesce(title, ''), 1, 80) AS card FROM news_articles")
-def listing_cards(spark, sf_dir):
-    page = F.concat(F.lit('<div>x</div><div class="card" href="'), _s("url"), F.lit('">'), _s("title"))
-    return read(spark, sf_dir, "news_articles").select("row_id", F.explode(parsers.cards(page, '<div class="card" href=', 80)).alias("card"))
-
-
 @query("SELECT row_id, substr('\"' || coalesce(url, '') || '\">' || coalesce(title, ''), 1, 3000) AS card FROM news_articles")
-def listing_cards_full(spark, sf_dir):
+def listing_cards(spark, sf_dir):
     """Cards of the size that SSI's listings are cut to."""
     page = F.concat(F.lit('<div>x</div><div class="card" href="'), _s("url"), F.lit('">'), _s("title"))
     return read(spark, sf_dir, "news_articles").select("row_id", F.explode(parsers.cards(page, '<div class="card" href=', 3000)).alias("card"))
 
 
-@query("SELECT row_id, " + _SQUASH.format("title") + " AS title, substr(lead, 1, 500) AS lead FROM news_articles WHERE NOT regexp_matches(coalesce(title, '<') || coalesce(lead, '<'), '[<&\"'']')")
-def article_meta(spark, sf_dir):
-    page = F.concat(F.lit("<head><title>"), F.col("title"), F.lit('</title><meta name="description" content="'), F.col("lead"), F.lit('"></head>'))
-    news = read(spark, sf_dir, "news_articles").where(~F.concat(F.coalesce("title", F.lit("<")), F.coalesce("lead", F.lit("<"))).rlike("[<&\"']"))
-    return news.select("row_id", parsers.article_meta(page).alias("m")).select("row_id", "m.title", "m.lead")
-
-
 @query("SELECT row_id, " + _SQUASH.format("coalesce(title, '')") + " AS title, substr(coalesce(lead, ''), 1, 500) AS lead FROM news_articles")
-def article_meta_all(spark, sf_dir):
+def article_meta(spark, sf_dir):
     """Title and lead of every article, out of pages with entities; null is empty."""
     page = F.concat(F.lit("<head><title>"), _escaped("title"), F.lit('</title><meta name="description" content="'), _escaped("lead"), F.lit('"></head>'))
     return read(spark, sf_dir, "news_articles").select("row_id", parsers.article_meta(page).alias("m")).select("row_id", "m.title", "m.lead")
@@ -123,22 +97,6 @@ def breadcrumb_section(spark, sf_dir):
     return read(spark, sf_dir, "news_articles").select("row_id", parsers.breadcrumb_section(page, ["stocks", "banks"], "a.example").alias("section"))
 
 
-@query("SELECT doc_id, length(trim(text)) >= 200 AS found FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[<>&]')")
-def html_body(spark, sf_dir):
-    """Bodies found in pages around the documents: those of at least 200 characters."""
-    page = F.concat(F.lit("<html><body><nav>menu</nav><article><p>"), F.col("text"), F.lit("</p><script>var x;</script></article></body></html>"))
-    docs = read(spark, sf_dir, "documents").where(F.col("text").isNotNull() & ~F.col("text").rlike("[<>&]"))
-    return docs.select("doc_id", (parsers.html_body(page) != "").alias("found"))
-
-
-@query(f"SELECT doc_id, length(b) AS chars, md5(b) AS body_md5 FROM (SELECT doc_id, CASE WHEN length(t) >= 200 THEN t ELSE '' END AS b FROM (SELECT doc_id, {_STRIP.format("coalesce(text, '')")} AS t FROM documents))")
-def html_body_text(spark, sf_dir):
-    """Length and hash of the body found in the page around every document; '' under 200 characters."""
-    page = F.concat(F.lit("<html><body><nav>menu</nav><article><p>"), _escaped("text"), F.lit("</p><script>var x;</script></article></body></html>"))
-    bodies = read(spark, sf_dir, "documents").select("doc_id", parsers.html_body(page).alias("body"))
-    return bodies.select("doc_id", F.length("body").cast("long").alias("chars"), F.md5("body").alias("body_md5"))
-
-
 @query("SELECT strftime(date, '%Y-%m-%d') AS day, close, volume FROM index_prices")
 def price_payload(spark, sf_dir):
     row = F.to_json(F.array(F.struct(F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T00:00:00+07:00")).alias("date"), "close", "volume")))
@@ -163,14 +121,10 @@ def rate_table(spark, sf_dir):
     return rates.select(F.date_format("date", "yyyy-MM-dd").alias("day"), "r.buy", "r.sell")
 
 
-def _work(spark) -> str:
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/lacquer-checkpoints'}/files-{uuid.uuid4().hex}"
-
-
 @query("SELECT CAST(row_id AS VARCHAR) AS row_id, coalesce(title, '') AS title, length(coalesce(raw_text, '')) AS chars FROM objective_records")
 def csv_scan(spark, sf_dir):
     """Records written as CSV and scanned again: line breaks, quotes and empty values survive."""
-    work = _work(spark)
+    work = workspace(spark, "files")
     out = read(spark, sf_dir, "objective_records").select("row_id", _s("title").alias("title"), _s("raw_text").alias("raw_text"))
     out.write.csv(work, header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return readers.csv(spark, f"{work}/*.csv").select("row_id", "title", F.length("raw_text").alias("chars"))
@@ -178,11 +132,14 @@ def csv_scan(spark, sf_dir):
 
 @query("SELECT url, min(row_id) AS row_id FROM news_articles WHERE url IS NOT NULL GROUP BY url")
 def json_lines_scan(spark, sf_dir):
-    """Candidates written as JSON lines with broken ones between; the first of each url stays."""
-    work = _work(spark)
+    """Candidates written as JSON lines with broken ones between; the first of each url stays.
+
+    The lines lie in many files, in row order within and across them.
+    """
+    work = workspace(spark, "files")
     line = F.to_json(F.struct("row_id", "url"))
     lines = F.explode(F.array(line, F.lit('{"url": broken')))
-    read(spark, sf_dir, "news_articles").where("url is not null").coalesce(1).orderBy("row_id").select(lines.alias("value")).write.text(work)
+    read(spark, sf_dir, "news_articles").where("url is not null").orderBy("row_id").select(lines.alias("value")).write.text(work)
     return readers.json_lines(spark, work, "row_id long, url string", "url").select("url", "row_id")
 
 

@@ -44,17 +44,28 @@ WITH t AS (
 )"""
 
 
-def build_records(records: DataFrame, universe: DataFrame, prefer: str = "source") -> DataFrame:
-    """Valid records of the universe, one per checksum: by source name, or by tier first."""
+#: Columns of the built table; nothing else of a record is read or moved.
+BUILT = ["row_id", "document_id", "source", "publish_time", "company_code", "title", "checksum"]
+
+
+def build_records(records: DataFrame, universe: DataFrame, prefer: str = "source", columns: list[str] | None = None) -> DataFrame:
+    """Valid records of the universe, one per checksum: by source name, or by tier first.
+
+    The winning rows travel with `columns`, so name only narrow ones (BUILT by default)
+    and join texts to the few rows that are kept, by row_id.
+    """
+    wanted = columns or [c for c in BUILT if c in records.columns]
+    ranks = ["source_tier"] if prefer == "tier" else []
+    records = records.select(*dict.fromkeys([*wanted, *ranks, "row_id", "source", "publish_time", "company_code", "checksum"]))
     order = [*([F.lower(F.trim(F.coalesce("source_tier", F.lit("~"))))] if prefer == "tier" else []), "source", "row_id"]
-    return dedup.keep_first(tagged_records(records, universe).where("verdict = 'kept'"), [F.coalesce("checksum", F.lit(""))], order)
+    kept = tagged_records(records, universe).where("verdict = 'kept'")
+    return dedup.keep_first(kept, [F.coalesce("checksum", F.lit(""))], order).select(*wanted)
 
 
 @query(RECORD_SQL + " SELECT row_id, document_id, source, publish_time, company_code, title, checksum FROM k WHERE n = 1")
 def objective_build(spark, sf_dir):
     """Unified records: valid time, member of the universe, first per checksum, in time order."""
     kept = build_records(read(spark, sf_dir, "objective_records"), read(spark, sf_dir, "universe"))
-    kept = kept.select("row_id", "document_id", "source", "publish_time", "company_code", "title", "checksum")
     return kept.orderBy("publish_time", "source", "company_code", "row_id")
 
 
@@ -186,17 +197,8 @@ def html_title(spark, sf_dir):
     return pages.select("row_id", F.length(lead).alias("body_len"), text.html_title(F.col("html")).alias("title"))
 
 
-@query("""SELECT source, to_json(list_sort(list_distinct(list(u)))) AS links FROM (SELECT source, split_part(url, '/', 4) AS u FROM news_articles WHERE row_id < 500) GROUP BY source""")
-def html_links(spark, sf_dir):
-    """Distinct links of one listing page per source."""
-    news = read(spark, sf_dir, "news_articles").where("row_id < 500")
-    anchors = F.concat(F.lit('<li><a class="x" href="'), F.substring_index(F.substring_index("url", "/", 4), "/", -1), F.lit('">t</a></li>'))
-    listing = news.groupBy("source").agg(F.array_join(F.collect_list(anchors), "\n").alias("html"))
-    return listing.select("source", F.to_json(text.html_links(F.col("html"))).alias("links"))
-
-
 @query("SELECT DISTINCT source, split_part(url, '/', 4) AS link FROM news_articles WHERE split_part(url, '/', 4) <> ''")
-def html_links_all(spark, sf_dir):
+def html_links(spark, sf_dir):
     """Distinct links of the listing pages of each source, over all articles; a page holds 100 row ids at most."""
     slug = F.nullif(F.split_part("url", F.lit("/"), F.lit(4)), F.lit(""))
     anchors = F.concat(F.lit('<li><a class="x" href="'), slug, F.lit('">t</a></li>'))
@@ -279,16 +281,9 @@ def norm_date(spark, sf_dir):
     return read(spark, sf_dir, "news_articles").select("row_id", dates.norm_date(F.col("pub_date")).alias("day"))
 
 
-@query("""SELECT row_id, strftime(coalesce(try_strptime(nullif(regexp_extract(trim(pub_date), '^(\\d{1,2}/\\d{1,2}/\\d{4})$', 1), ''), '%d/%m/%Y'), try_strptime(nullif(regexp_extract(trim(left(pub_date, 8)), '^(\\d{1,2}/\\d{1,2}/\\d{2})$', 1), ''), '%d/%m/%y')), '%Y-%m-%d') AS day
-FROM news_articles WHERE length(trim(pub_date)) <= 10""")
-def report_date(spark, sf_dir):
-    news = read(spark, sf_dir, "news_articles").where(F.length(F.trim("pub_date")) <= 10)
-    return news.select("row_id", F.date_format(dates.report_date(F.col("pub_date")), "yyyy-MM-dd").alias("day"))
-
-
 @query("""SELECT row_id, strftime(coalesce(try_strptime(nullif(regexp_extract(trim(pub_date), '^(\\d{1,2}/\\d{1,2}/\\d{4})$', 1), ''), '%d/%m/%Y'), try_strptime(nullif(regexp_extract(trim(pub_date), '^(\\d{1,2}/\\d{1,2}/\\d{2})$', 1), ''), '%d/%m/%y')), '%Y-%m-%d') AS day
 FROM news_articles""")
-def report_date_all(spark, sf_dir):
+def report_date(spark, sf_dir):
     """The day of every article, null where the value is no d/m/y."""
     return read(spark, sf_dir, "news_articles").select("row_id", F.date_format(dates.report_date(F.col("pub_date")), "yyyy-MM-dd").alias("day"))
 
@@ -350,9 +345,11 @@ def union_all(spark, sf_dir):
     return read(spark, sf_dir, "news_articles").select("row_id", "url").unionByName(read(spark, sf_dir, "objective_records").select("row_id", "url"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT DISTINCT url FROM news_articles WHERE url IS NOT NULL AND url NOT IN (SELECT url FROM news_articles WHERE trim(coalesce(author, '')) <> '' AND url IS NOT NULL)")
 def except_by_key(spark, sf_dir):
-    return read(spark, sf_dir, "customer").select("c_custkey").join(read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct(), "c_custkey", "left_anti")
+    """Urls no fetch of which names an author."""
+    news = read(spark, sf_dir, "news_articles").select("url", "author").where("url is not null")
+    return news.select("url").distinct().join(news.where(F.trim("author") != "").select("url"), "url", "left_anti")
 
 
 @query("SELECT row_id, coalesce(nullif(body, ''), nullif(lead, ''), nullif(title, ''), '') AS content FROM news_articles")
@@ -361,7 +358,10 @@ def falsy_coalesce(spark, sf_dir):
 
 
 def unified_articles(articles: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Articles of several origins under one header, one per url by origin order, numbered by date."""
+    """Articles of several origins under one header, one per url by origin order, numbered by date.
+
+    Rows travel with all columns given: leave texts out and join them by origin and row_id afterwards.
+    """
     out = None
     for n, (origin, df) in enumerate(articles):
         rows = df.withColumns({"origin_file": F.lit(origin), "__origin": F.lit(n)})
@@ -384,11 +384,11 @@ def articles_unified(spark, sf_dir):
     news = read(spark, sf_dir, "news_articles")
     records = read(spark, sf_dir, "objective_records")
     parts = [
-        ("news", news.select("row_id", "source", "url", F.col("pub_date").alias("pub_datetime"), text.first_filled(F.col("body"), F.col("lead")).alias("body"))),
-        ("records", records.select("row_id", "source", "url", F.col("publish_time").alias("pub_datetime"), text.first_filled(F.col("raw_text"), F.col("title")).alias("body"))),
+        ("news", news.select("row_id", "source", "url", F.col("pub_date").alias("pub_datetime"), F.length(text.first_filled(F.col("body"), F.col("lead"))).cast("long").alias("body_chars"))),
+        ("records", records.select("row_id", "source", "url", F.col("publish_time").alias("pub_datetime"), F.length(text.first_filled(F.col("raw_text"), F.col("title"))).cast("long").alias("body_chars"))),
     ]
     unified = unified_articles(parts)
-    return unified.select("unified_id", "row_id", "source", "date", F.length("body").cast("long").alias("body_chars"), "origin_file")
+    return unified.select("unified_id", "row_id", "source", "date", "body_chars", "origin_file")
 
 
 def patched(df: DataFrame, patch: DataFrame, key: str, column: str) -> DataFrame:

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup
 from ..operators import series as S
+from ..session import workspace
+from ..sources import sinks
 from .records import read
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
+# Columns of the series and of the feature table, in their order.
 INDEX, RATES, POLICY = ["open", "high", "low", "close", "volume"], ["dxy"], ["refinancing_rate", "discount_rate", "omo_rate"]
 FEATURES = [
     "date", "vni_open", "vni_high", "vni_low", "vni_close", "vni_volume", "vni_return_1d", "vni_return_5d", "vni_volume_zscore", "dxy", "dxy_return_1d",
@@ -207,11 +210,11 @@ def counts_by_year(spark, sf_dir):
 @query("""SELECT company_code, count(*) AS n, max(substr(crawl_time, 1, 10)) AS latest, string_agg(DISTINCT nullif(event_type, ''), ', ' ORDER BY nullif(event_type, '')) AS types
 FROM objective_records WHERE coalesce(company_code, '') <> '' GROUP BY 1""")
 def per_ticker_summary(spark, sf_dir):
-    """Count, latest day and sorted distinct event types per code; partial sets before the shuffle."""
+    """Count, latest day and sorted distinct event types per code, most first, of equals the one seen first; partial sets before the shuffle."""
     r = read(spark, sf_dir, "objective_records").where(F.coalesce("company_code", F.lit("")) != "")
     types = F.array_join(F.array_sort(F.collect_set(F.nullif(F.col("event_type"), F.lit("")))), ", ")
-    out = r.groupBy("company_code").agg(F.count(F.lit(1)).alias("n"), F.max(F.substring("crawl_time", 1, 10)).alias("latest"), types.alias("types"))
-    return out.withColumn("types", F.nullif(F.col("types"), F.lit("")))
+    out = r.groupBy("company_code").agg(F.min("row_id").alias("first"), F.count(F.lit(1)).alias("n"), F.max(F.substring("crawl_time", 1, 10)).alias("latest"), types.alias("types"))
+    return out.withColumn("types", F.nullif(F.col("types"), F.lit(""))).orderBy(F.desc("n"), "first").drop("first")
 
 
 @query("SELECT user_id, n FROM (SELECT user_id, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1 ORDER BY n DESC, first LIMIT 10)")
@@ -242,9 +245,13 @@ def digest_rows(spark, sf_dir):
     return d.orderBy(F.desc("published_on"), "doc_id").select("source", F.date_format("published_on", "yyyy-MM-dd").alias("day"), "doc_id", F.substring(F.coalesce("text", F.lit("")), 1, 140).alias("summary"))
 
 
-@query("SELECT max('records_v' || substr(crawl_time, 1, 10)) AS version FROM objective_records")
+@query("SELECT row_id, source, substr(crawl_time, 1, 7) AS version FROM objective_records WHERE substr(crawl_time, 1, 7) = (SELECT max(substr(crawl_time, 1, 7)) FROM objective_records)")
 def latest_version(spark, sf_dir):
-    return read(spark, sf_dir, "objective_records").agg(F.max(F.concat(F.lit("records_v"), F.substring("crawl_time", 1, 10))).alias("version"))
+    """Records written as one version per month; the latest version is looked up and only its partition read."""
+    path = workspace(spark, "versions")
+    month = F.substring("crawl_time", 1, 7)
+    read(spark, sf_dir, "objective_records").where(month.isNotNull()).select("row_id", "source", month.alias("version")).write.partitionBy("version").parquet(path)
+    return sinks.latest(spark, path).select("row_id", "source", F.col("version").cast("string").alias("version"))
 
 
 @query("""SELECT source, count(*) AS n, count(*) FILTER (trim(coalesce(body, '')) <> '') AS with_body, count(*) FILTER (trim(coalesce(body, '')) <> '') * 100 // count(*) AS percent FROM news_articles GROUP BY 1""")

@@ -1,15 +1,16 @@
-"""Landed payloads to rows.  Native where Spark has a parser; the DOM walk is an Arrow UDF."""
+"""Landed payloads to rows.  Native where Spark has a parser; XML is read in Arrow batches, trees of pages in `pages`."""
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+from collections.abc import Callable
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import collapse, unescape
+from ..functions.text import collapse, strip_html, unescape
 
 EVENT_SCHEMA = (
     "array<struct<EventID:bigint,EventTypeID:bigint,ChannelID:bigint,Code:string,CompanyName:string,Time:string,Name:string,Title:string,Content:string,FileUrl:string>>"
@@ -32,8 +33,8 @@ def price_rows(payload: Column) -> Column:
 
 def sentinel_series(lines: Column) -> Column:
     """date, value of a two-column CSV text; a single dot is a missing value."""
-    rows = F.slice(F.split(F.regexp_replace(lines, "﻿", ""), "\r?\n"), 2, 1_000_000)
-    rows = F.filter(rows, lambda x: F.contains(x, F.lit(",")))
+    rows = F.split(F.regexp_replace(lines, "﻿", ""), "\r?\n")
+    rows = F.filter(F.slice(rows, 2, F.size(rows)), lambda x: F.contains(x, F.lit(",")))
     return F.transform(rows, lambda x: F.struct(
         F.substring(F.substring_index(x, ",", 1), 1, 10).alias("date"), F.nullif(F.trim(F.substring_index(x, ",", -1)), F.lit(".")).try_cast("double").alias("value"),
     ))
@@ -56,9 +57,16 @@ def feed_items(payload: Column, linked: str = "") -> Column:
 
 
 def sitemap_urls(payload: Column) -> Column:
-    """loc, lastmod, title of each url of a sitemap shard."""
+    """loc, lastmod, title of each url of a sitemap shard, character entities resolved."""
     urls = F.regexp_extract_all(F.coalesce(payload, F.lit("")), F.lit(r"(?s)<url>(.*?)</url>"), F.lit(1))
-    part = lambda u, n: F.regexp_extract(u, rf"(?s)<{n}>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</{n}>", 1)
+    entities = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&"))
+
+    def part(u: Column, n: str) -> Column:
+        inner = F.regexp_extract(u, rf"(?s)<{n}>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</{n}>", 1)
+        for entity, char in entities:
+            inner = F.replace(inner, F.lit(entity), F.lit(char))
+        return inner
+
     return F.transform(urls, lambda u: F.struct(part(u, "loc").alias("url"), F.substring(part(u, "lastmod"), 1, 10).alias("lastmod"), part(u, "image:title").alias("title")))
 
 
@@ -103,7 +111,7 @@ def breadcrumb_section(payload: Column, allowed: list[str], site: str = "") -> C
 def cards(payload: Column, marker: str, size: int) -> Column:
     """What follows each marker of a listing page, cut to size."""
     parts = F.split(F.coalesce(payload, F.lit("")), marker)
-    return F.transform(F.slice(parts, 2, 1_000_000), lambda c: F.substring(c, 1, size))
+    return F.transform(F.slice(parts, 2, F.size(parts)), lambda c: F.substring(c, 1, size))
 
 
 #: The notice number keeps ticker and title of a listing link apart.
@@ -123,70 +131,59 @@ def notice_links(payload: Column, base: str) -> Column:
     ))
 
 
-class _Body(HTMLParser):
-    """Longest text of elements by preference: (tag, attribute, part of its value)."""
-
-    def __init__(self, wanted: list[tuple[str, str, str]]):
-        super().__init__(convert_charrefs=True)
-        self.wanted, self.open, self.skip = wanted, [], 0
-        self.found: dict[int, list[str]] = {}
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style", "noscript"):
-            self.skip += 1
-        hit = next((i for i, (t, a, v) in enumerate(self.wanted) if t in (tag, "*") and (not a or v in (dict(attrs).get(a) or ""))), None)
-        if tag not in ("br", "img", "meta", "link", "input", "hr"):
-            self.open.append((tag, hit, []))
-        if tag in ("p", "br", "div", "li", "tr", "h1", "h2", "h3"):
-            self.handle_data("\n")
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style", "noscript"):
-            self.skip = max(0, self.skip - 1)
-        if not any(t == tag for t, _, _ in self.open):
-            return
-        while self.open:
-            t, hit, texts = self.open.pop()
-            if hit is not None:
-                self.found.setdefault(hit, []).append("".join(texts))
-            if self.open:
-                self.open[-1][2].extend(texts)
-            if t == tag:
-                return
-
-    def handle_data(self, data):
-        if self.open and not self.skip:
-            self.open[-1][2].append(data)
-
-    def best(self, least: int) -> str:
-        while self.open:
-            self.handle_endtag(self.open[-1][0])
-        for i in range(len(self.wanted)):
-            longest = max((x.strip() for x in self.found.get(i, [])), key=len, default="")
-            if len(longest) >= least:
-                return longest
-        return ""
-
-
-# Where article bodies stand, tried in this order after a source's own places.
-BODY_PLACES = (
-    ("article", "", ""), ("div", "class", "article-body"), ("div", "class", "post-content"), ("div", "class", "entry-content"),
-    ("div", "itemprop", "articleBody"), ("main", "", ""),
-)
-
-
-def html_body(payload: Column, places: tuple[tuple[str, str, str], ...] = (), least: int = 200) -> Column:
-    """Text of the article body of a page: the first place with an element of at least `least` characters."""
-    wanted = [*places, *BODY_PLACES]
-
-    @F.pandas_udf(T.StringType())
-    def body(pages: pd.Series) -> pd.Series:
-        def one(page: str) -> str:
-            parser = _Body(wanted)
-            parser.feed(page)
-            parser.close()
-            return parser.best(least)
-
-        return pages.map(lambda p: one(p) if p else "", na_action="ignore").fillna("")
-
-    return body(payload)
+def rss_items(payload: Column) -> Column:
+    """url, title, pub_date and description of the items of a feed that have a link; a feed that is no XML gives none."""
+    of = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("url", "title", "pub_date", "description")]))
+
+    def one(feed: str) -> list[dict]:
+        try:
+            items = ElementTree.fromstring(feed).iter("item")
+        except ElementTree.ParseError:
+            return []
+        at = lambda item, name: (item.findtext(name) or "").strip()
+        rows = ({"url": at(i, "link"), "title": at(i, "title"), "pub_date": at(i, "pubDate"), "description": at(i, "description")} for i in items)
+        return [r for r in rows if r["url"]]
+
+    @F.pandas_udf(of)
+    def parsed(feeds: pd.Series) -> pd.Series:
+        return pd.Series([one(x) if x else [] for x in feeds], dtype=object)
+
+    return parsed(payload)
+
+
+def _cards(payload: Column, marker: str, size: int, fields: dict[str, Callable[[Column], Column]]) -> Column:
+    return F.transform(cards(payload, marker, size), lambda c: F.struct(*[f(c).alias(n) for n, f in fields.items()]))
+
+
+def _inside(pattern: str) -> Callable[[Column], Column]:
+    return lambda c: F.regexp_extract(c, pattern, 1)
+
+
+def _plain(pattern: str) -> Callable[[Column], Column]:
+    return lambda c: strip_html(F.regexp_extract(c, pattern, 1))
+
+
+def bulletin_cards(payload: Column) -> Column:
+    """title, url, pub_date and lead of a bulletin listing; a card needs a date and a document to download."""
+    found = _cards(payload, "chart__content__item--undetail", 3000, {
+        "url": _inside(r'href="(https://[^"]*/analysis-center/report/download/[^"]+)"'), "title": _plain(r'(?s)<a class="titlePost"[^>]*>(.*?)</a>'),
+        "pub_date": _inside(r"<span>(\d{2}/\d{2}/\d{4})</span>"), "lead": lambda c: F.substring(_plain(r'(?s)chart__content__item__desc__info">(.*?)</div>')(c), 1, 500),
+    })
+    return F.filter(found, lambda x: (x["url"] != "") & (x["pub_date"] != ""))
+
+
+def research_cards(payload: Column) -> Column:
+    """title, url, pub_date (d/m/y or "") and lead of a research listing; a card needs a link."""
+    day, month, year = _inside(r'date-day">(\d+)</span>'), _inside(r"<sup>/(\d+)</sup>"), _inside(r"Year\s*(\d+)")
+    whole = lambda c: F.when((day(c) != "") & (month(c) != "") & (year(c) != ""), F.concat_ws("/", day(c), month(c), year(c))).otherwise("")
+    found = _cards(payload, "news-item flex-item", 2500, {
+        "url": _inside(r'<h3>\s*<a href="([^"]+)"'), "title": _plain(r"(?s)<h3>\s*<a[^>]*>(.*?)</a>"), "pub_date": whole,
+        "lead": lambda c: F.substring(_plain(r"(?s)news-des[^>]*>(.*?)</div>")(c), 1, 500),
+    })
+    return F.filter(found, lambda x: x["url"] != "")
+
+
+def detail_links(payload: Column, base: str, path: str) -> Column:
+    """Distinct links of a listing under `path`, in order: base, path and the slug of a to z, 0 to 9 and -."""
+    slugs = F.regexp_extract_all(F.coalesce(payload, F.lit("")), F.lit(f"{path}([a-z0-9-]+)"), F.lit(1))
+    return F.transform(F.array_sort(F.array_distinct(slugs)), lambda s: F.concat(F.lit(base + path), s))

@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import glob as _glob
-import os
 import re
 import tomllib
+from collections.abc import Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import dedup
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
-    return found is not None and len(found) > 0
+from ..session import exists, listed
 
 
 def csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -27,7 +21,7 @@ def csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> Dat
 
     A byte order mark is dropped, quoted line breaks and doubled quotes are read right.
     """
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns or ["value"]]))
     df = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
     for c in columns or []:
@@ -39,7 +33,7 @@ def csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> Dat
 def csv_files(spark: SparkSession, pattern: str, exclude: str | None = None) -> DataFrame:
     """All files of a pattern in name order, with src_ord and row_ord; those matching `exclude` are left out."""
     out = None
-    for n, path in enumerate(p for p in sorted(_glob.glob(pattern)) if not (exclude and re.search(exclude, os.path.basename(p)))):
+    for n, path in enumerate(p for p in listed(spark, pattern) if not (exclude and re.search(exclude, p.rsplit("/", 1)[-1]))):
         one = csv(spark, path).withColumns({"src_ord": F.lit(n), "row_ord": F.monotonically_increasing_id()})
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     if out is None:
@@ -49,8 +43,11 @@ def csv_files(spark: SparkSession, pattern: str, exclude: str | None = None) ->
 
 def json_lines(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
     """JSON lines without the broken ones; of equal keys the first in file order."""
-    df = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path).where(F.col(key).isNotNull())
-    return dedup.keep_first(df.withColumn("__n", F.monotonically_increasing_id()), [key], ["__n"]).drop("__n")
+    df = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    # Spark packs files and parts of files by size; within a part rows keep their order
+    place = {"__file": F.col("_metadata.file_path"), "__part": F.col("_metadata.file_block_start"), "__n": F.monotonically_increasing_id()}
+    df = df.select("*", *[c.alias(n) for n, c in place.items()]).where(F.col(key).isNotNull())
+    return dedup.keep_first(df, [key], [*place]).drop(*place)
 
 
 def universe(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -86,11 +83,15 @@ def pdf_texts(listing: DataFrame, extract=None, max_chars: int = 30_000) -> Data
 
     from ..functions.text import dehyphenate, normalize_body
 
-    @F.udf("string")  # one call per file; the work is in the library
-    def body(data: bytes) -> str:
+    def one(data: bytes | None) -> str:
         try:
-            return extract(data)
+            return extract(data) or "" if data else ""
         except Exception:
             return ""
 
-    return listing.select("path", normalize_body(dehyphenate(body("content")), max_chars).alias("body"))
+    def bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for files in batches:
+            yield pd.DataFrame({"path": files["path"], "text": [one(x) for x in files["content"]]})
+
+    texts = listing.select("path", "content").mapInPandas(bodies, "path string, text string")
+    return texts.select("path", normalize_body(dehyphenate(F.col("text")), max_chars).alias("body"))

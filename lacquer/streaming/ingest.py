@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedup
+from ..session import exists
 
 
 def landed(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int = 64) -> DataFrame:
@@ -36,9 +37,9 @@ def append_above_watermark(spark: SparkSession, target: str, date: str, order: l
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        try:
+        if exists(spark, target):  # any failure to read what is stored ends the batch
             existing = spark.read.parquet(target).where(F.col("batch_id") < batch_id)
-        except Exception:  # nothing stored yet
+        else:
             existing = batch.limit(0)
         fresh = dedup.above_watermark(batch, existing.select(date), date, order)
         fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")

@@ -8,7 +8,7 @@ from lacquer.operators import dedup, series
 from lacquer.operators.timeline import instants
 from lacquer.plans.records import build_records, patched, tagged_records
 from lacquer.plans.series import FEATURES, macro
-from lacquer.sources import parsers, sinks
+from lacquer.sources import pages, parsers, sinks
 
 DAY = [dt.date(2024, 1, d) for d in (2, 3, 4, 5, 8)]
 
@@ -145,8 +145,8 @@ def test_feeds_and_pages(spark):
     meta = payload(spark, '<title>T &amp; U</title><meta property="og:description" content="D &lt;1"><script>{"datePublished": "2024-01-02T03:04:05+07:00"}</script>', parsers.article_meta)
     assert (meta["title"], meta["lead"], meta["published"]) == ("T & U", "D <1", "2024-01-02T03:04:05")
     page = "<html><nav>menu</nav><article><p>" + "Câu dài. " * 40 + "</p><script>x()</script></article></html>"
-    assert payload(spark, page, parsers.html_body).startswith("Câu dài.") and "x()" not in payload(spark, page, parsers.html_body)
-    assert payload(spark, "", parsers.html_body) == "" and payload(spark, None, parsers.html_body) == ""
+    assert payload(spark, page, pages.html_body).startswith("Câu dài.") and "x()" not in payload(spark, page, pages.html_body)
+    assert payload(spark, "", pages.html_body) == "" and payload(spark, None, pages.html_body) == ""
 
 
 def test_sinks(spark, tmp_path):
