@@ -78,15 +78,16 @@ def notice_records(spark, sf_dir):
 _UNFIT = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x{FFFE}\\x{FFFF}]"
 
 
-@query(_record_sql(f"""SELECT 'https://a.example/' || row_id AS url, strftime(CAST(substr(collected_at, 1, 10) AS DATE) + INTERVAL 5 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS publish_time, '' AS company_code, '' AS company_name, t AS title, coalesce(nullif(l, ''), t) AS raw_text,
+@query(_record_sql(f"""SELECT 'https://a.example/' || row_id AS url, coalesce(strftime(TRY_CAST(substr(collected_at, 1, 10) AS DATE) + INTERVAL 5 HOUR, '%Y-%m-%dT%H:%M:%SZ'), '') AS publish_time, '' AS company_code, '' AS company_name, t AS title, coalesce(nullif(l, ''), t) AS raw_text,
   'tuoitre' AS category, 'other' AS event_type FROM (SELECT row_id, collected_at, {_STRIP.format("coalesce(title, '')")} AS t, {_STRIP.format("coalesce(lead, '')")} AS l, coalesce(title, '') || coalesce(lead, '') AS bt FROM news_articles WHERE regexp_full_match(collected_at, '\\d{{4}}-\\d{{2}}-\\d{{2}}T.*')) WHERE NOT regexp_matches(bt, '{_UNFIT}')""", "tuoitre", "tier2"))
 def feed_records(spark, sf_dir):
     """Items of an outlet's feed, one feed per article; a feed that is no XML gives nothing, nor does an item without a link."""
     n = read(spark, sf_dir, "news_articles").where(F.col("collected_at").rlike(r"^\d{4}-\d{2}-\d{2}T.*$"))
-    day = F.date_format(F.substring("collected_at", 1, 10).cast("date"), "EEE, d MMM yyyy")
+    day = F.date_format(F.substring("collected_at", 1, 10).try_cast("date"), "EEE, d MMM yyyy")
+    date = F.coalesce(F.concat(day, F.lit(" 12:00:00 +0700")), F.lit(""))
     feed = F.concat(
-        F.lit("<rss><channel><title>c</title><item><title>"), _escaped("title"), F.lit("</title><link>https://a.example/"), F.col("row_id").cast("string"), F.lit("</link><pubDate>"), day,
-        F.lit(" 12:00:00 +0700</pubDate><description>"), _escaped("lead"), F.lit("</description></item><item><title>no link</title></item></channel></rss>"),
+        F.lit("<rss><channel><title>c</title><item><title>"), _escaped("title"), F.lit("</title><link>https://a.example/"), F.col("row_id").cast("string"), F.lit("</link><pubDate>"), date,
+        F.lit("</pubDate><description>"), _escaped("lead"), F.lit("</description></item><item><title>no link</title></item></channel></rss>"),
     )
     return _flat(specs.records_of(outlets.OUTLETS["tuoitre"], n.select(feed.alias("payload")), CRAWLED))
 
@@ -96,19 +97,14 @@ def _article_sql(source: str, author: str, given: dict[str, str], rows: str) ->
     return "SELECT " + ", ".join(f"{have.get(n, chr(39) * 2)} AS {n}" for n in specs.ARTICLE_FIELDS) + f" FROM ({rows})"
 
 
-_TITLED = f"""SELECT row_id, {_PLAIN("coalesce(title, '')")} AS t, substr({_PLAIN("coalesce(lead, '')")}, 1, 500) AS l FROM news_articles WHERE length(coalesce(title, '')) + length(coalesce(lead, '')) < 1500"""
-
-
-def _short(news: DataFrame) -> DataFrame:
-    """Articles whose title and lead fit into a card as listings cut them."""
-    return news.where(F.length(_s("title")) + F.length(_s("lead")) < 1500)
+_TITLED = f"""SELECT row_id, {_PLAIN("coalesce(title, '')")} AS t, substr({_PLAIN("coalesce(lead, '')")}, 1, 500) AS l FROM news_articles"""
 
 
 @query(_article_sql("ssi", "SSI", {"title": "t", "category": "'Bản Tin Thị Trường'", "pub_date": "'05/03/2024'", "url": "url", "lead": "l", "pdf_url": "url"},
        f"SELECT *, 'https://x.example/analysis-center/report/download/' || row_id AS url FROM ({_TITLED}) WHERE row_id % 4 <> 0"))
 def bulletin_articles(spark, sf_dir):
     """Bulletins of card listings; a card without a document is left out."""
-    n = _short(read(spark, sf_dir, "news_articles"))
+    n = read(spark, sf_dir, "news_articles")
     link = F.when(F.col("row_id") % 4 == 0, "").otherwise(F.concat(F.lit('<a href="https://x.example/analysis-center/report/download/'), F.col("row_id").cast("string"), F.lit('">PDF</a>')))
     page = F.concat(
         F.lit('<p>top</p><div class="chart__content__item--undetail"><span>05/03/2024</span>'), link, F.lit('<a class="titlePost" href="#">'), _s("title"),
@@ -121,7 +117,7 @@ def bulletin_articles(spark, sf_dir):
        f"SELECT *, 'https://y.example/en/' || row_id AS url FROM ({_TITLED})"))
 def research_articles(spark, sf_dir):
     """Research notes of card listings; the date needs day, month and year."""
-    n = _short(read(spark, sf_dir, "news_articles"))
+    n = read(spark, sf_dir, "news_articles")
     year = F.when(F.col("row_id") % 5 == 0, "").otherwise("<i>Year 2025</i>")
     page = F.concat(
         F.lit('<div class="news-item flex-item"><span class="date-day">7</span><sup>/11</sup>'), year, F.lit('<h3> <a href="https://y.example/en/'), F.col("row_id").cast("string"), F.lit('">'), _s("title"),
@@ -139,7 +135,7 @@ _CUT = lambda b: f"CASE WHEN length({b}) > 20000 THEN left({b}, 10000) || chr(10
 def html_body(spark, sf_dir):
     """Length and hash of the normalised body found in the page around every document, entities resolved; "" under 200 characters."""
     escaped = F.replace(_escaped("text"), F.lit("&amp;"), F.lit("&amp;amp;"))  # bodies are unescaped once as pages and once as texts
-    page = F.concat(F.lit('<html><body><nav>menu</nav><main><div class="detail-content"><p>'), escaped, F.lit("</p><script>var x;</script></div><aside>Tin khác</aside></main></body></html>"))
+    page = F.concat(F.lit('<html><body><nav>menu</nav><main><div class="detail-content"><p>'), escaped, F.lit("</p><script>var x;</script></div></main><aside>Tin khác</aside></body></html>"))
     bodies = read(spark, sf_dir, "documents").select("doc_id", pages.html_body(page, "cafef").alias("body"))
     return bodies.select("doc_id", F.length("body").cast("long").alias("chars"), F.md5("body").alias("body_md5"))
 
@@ -190,7 +186,7 @@ def article_days(spark, sf_dir):
     return read(spark, sf_dir, "news_articles").select("row_id", day(dates.article_date).alias("article_day"), day(dates.digest_date).alias("digest_day"))
 
 
-@query("""WITH n AS (SELECT row_id, url, row_id % 10 = 0 AS gone, substr(collected_at, 1, 10) < '2025-06-01' AND regexp_full_match(substr(collected_at, 1, 10), '\\d{4}-\\d{2}-\\d{2}') AS old FROM news_articles WHERE row_id >= 500),
+@query("""WITH n AS (SELECT row_id, url, row_id % 10 = 0 AS gone, regexp_full_match(substr(collected_at, 1, 10), '\\d{4}-\\d{2}-\\d{2}') AND TRY_CAST(substr(collected_at, 1, 10) AS DATE) < DATE '2025-06-01' AS old FROM news_articles WHERE row_id >= 500),
 k AS (SELECT *, url IN (SELECT url FROM news_articles WHERE row_id < 500 AND url IS NOT NULL) AS known, row_number() OVER (PARTITION BY url, NOT gone AND coalesce(url, '') <> '' AND NOT coalesce(old, false) ORDER BY row_id) AS n FROM n)
 SELECT fate, count(*) AS n FROM (SELECT CASE WHEN gone OR coalesce(url, '') = '' THEN 'fail' WHEN coalesce(old, false) THEN 'out_of_range' WHEN known OR n > 1 THEN 'dup' ELSE 'kept' END AS fate FROM k) GROUP BY fate""")
 def crawl_counters(spark, sf_dir):
