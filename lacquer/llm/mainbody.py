@@ -1,12 +1,14 @@
 """Main body of pages: which lines are the article's own and which are the page's.
 
 Two stages.  A layout-aware renderer (tree builder with implied end tags and
-visibility rules) turns whatever tags a text still holds into visible lines, with
-block spacing, list marks and aligned table cells kept, each visible line tied to the
-stored line it came from.  Rendering alone keeps menus and footers, so its blocks are
-then judged by what they look like (sentence, table row, list item, heading, menu,
-teaser, legal or share line) with the help of two vocabularies counted over *all*
-rows: items of menu bars and cores of section headings.
+visibility rules) emits all visible text: blocks with their spacing, list marks and
+aligned table cells, each visible line tied to the stored line it came from.  Rendering
+alone keeps menus and footers, so its lines are then judged by structure and by their
+source: a fragment that many rows of the source have, or a sentence that a tenth of them
+has, is the page's; bars of short items are menus; sentences, table rows and headings
+between them are the article's; fragments that end openly are teasers.  The counts are
+over all rows of a source, so they hold for any number of sources and rows.  No list of
+wordings is used.
 """
 
 from __future__ import annotations
@@ -16,10 +18,12 @@ from collections.abc import Iterator
 from html import unescape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import repeated
 from .textform import consistent
 
 # Tag classes of the HTML standard used by the renderer.
@@ -32,199 +36,287 @@ IMPLIED = {
     "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "ul": ("p",), "ol": ("p",), "table": ("p",), "div": ("p",),
     "h1": ("p",), "h2": ("p",), "h3": ("p",), "option": ("option",),
 }
+#: Elements set off by a blank line.
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol table blockquote pre figure dl".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][A-Za-z0-9]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _HIDING = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def render(text: str) -> list[tuple[int, str, bool]]:
-    """(line_no, visible text, hidden) for every stored line of a text with tags.
+def _walk(text: str) -> Iterator[tuple[str, str, bool]]:
+    """("text", characters, hidden), ("open", tag, hidden), ("close", tag, hidden) and ("lines", breaks inside a tag, hidden).
 
     A tree is kept as a stack of open elements; an element closes the ones its tag
-    implies closed.  Text inside an invisible element is marked hidden.  Cells of one
-    table row on one stored line are joined by " | ", list items get their mark.
-    Unbalanced end tags are ignored; an unclosed tag at the end is dropped as text.
+    implies closed.  Everything inside an invisible element is hidden.  Unbalanced end
+    tags are ignored; an unclosed tag at the end is text.
     """
     stack: list[tuple[str, bool]] = []
-    lines: list[list] = [[1, "", False]]
-    hidden = 0
-
-    def put(s: str, raw: bool) -> None:
-        for k, part in enumerate(s.split("\n")):
-            if k:
-                lines.append([lines[-1][0] + 1, "", False])
-            if part:
-                lines[-1][1] += unescape(part) if raw and "&" in part else part
-                if hidden and part.strip():
-                    lines[-1][2] = True
-
-    def close(name: str) -> None:
+    hidden = at = 0
+
+    def close(name: str) -> Iterator[tuple[str, str, bool]]:
         nonlocal hidden
         while stack:
             top, was = stack.pop()
+            yield "close", top, hidden > 0
             hidden -= was
             if top == name:
                 return
 
-    at = 0
     for m in _TAG.finditer(text):
-        put(text[at : m.start()], True)
+        if m.start() > at:
+            piece = text[at : m.start()]
+            yield "text", unescape(piece) if "&" in piece else piece, hidden > 0
         at = m.end()
-        put("\n" * m.group().count("\n"), False)
+        if "\n" in m.group():
+            yield "lines", "\n" * m.group().count("\n"), hidden > 0
         name = (m[2] or "").lower()
         if not name:
             continue
         if m[1]:
-            if any(t == name for t, _ in stack):
-                close(name)
-            if name in ("td", "th"):
-                put(" | ", False)
-            elif name in BLOCK and lines[-1][1].strip():
-                put(" ", False)
+            if any(tag == name for tag, _ in stack):
+                yield from close(name)
             continue
         for implied in IMPLIED.get(name, ()):
             if stack and stack[-1][0] == implied:
-                close(implied)
-        if name == "li":
-            put("• ", False)
+                yield from close(implied)
+        hide = name in HIDDEN or bool(m[3] and _HIDING.search(m[3]))
         if name not in VOID:
-            hide = name in HIDDEN or bool(m[3] and _HIDING.search(m[3]))
             stack.append((name, hide))
             hidden += hide
-    put(text[at:], True)
+        yield "open", name, hidden > 0
+    if at < len(text):
+        piece = text[at:]
+        yield "text", unescape(piece) if "&" in piece else piece, hidden > 0
+
+
+def render(text: str) -> list[tuple[int, str, bool]]:
+    """(line_no, visible text, hidden) for every stored line of a text with tags.
+
+    Cells of one table row on one stored line are joined by " | ", list items get their
+    mark; blocks that share a stored line are kept apart by a blank.
+    """
+    lines: list[list] = [[1, "", False]]
+    for what, piece, hidden in _walk(text):
+        if what == "open":
+            if piece == "li":
+                lines[-1][1] += "• "
+        elif what == "close":
+            if piece in ("td", "th"):
+                lines[-1][1] += " | "
+            elif piece in BLOCK and lines[-1][1].strip():
+                lines[-1][1] += " "
+        else:
+            for k, part in enumerate(piece.split("\n")):
+                if k:
+                    lines.append([lines[-1][0] + 1, "", False])
+                if part:
+                    lines[-1][1] += part
+                    lines[-1][2] |= hidden and bool(part.strip())
     return [(n, s.strip(" |") if s.endswith(" | ") else s, h) for n, s, h in lines]
 
 
-# How page furniture begins, by kind, in the two languages of the tables.
-# All are anchored: an article may well speak of cookies, copyright or its homepage.
-FURNITURE = {
-    "legal": (
-        r"bản quyền (?:thuộc|©)|©|\(c\) ?\d|giấy phép số|nghiêm cấm sao chép|thông tin trong bài chỉ|nội dung (?:này )?chỉ (?:để|mang)"
-        r"|.{2,60}?(?:không chịu trách nhiệm về quyết định đầu tư|accepts? no liability)|this (?:material|article) is for information"
-        r"|all rights reserved|registered office|vui lòng ghi rõ nguồn|disclaimer|no part of this"
-    ),
-    "privacy": (
-        r"(?:chúng tôi|website|trang này) (?:dùng|sử dụng) cookie|we use cookies|this site uses cookies|khi ở lại trang này|by (?:continuing|staying)"
-        r"|your privacy settings|cho phép thông báo|.{2,60}?(?:lưu tệp nhỏ trên thiết bị|and its partners store)"
-    ),
-    "contact": r"đường dây nóng|hotline|tòa soạn|hộp thư|liên hệ:|contact(?: us)?:|editorial office",
-    "share": r"chia sẻ bài viết|share this|gửi cho bạn bè|send to a friend|email this|theo dõi .{2,50} trên ứng dụng|follow .{2,50} (?:in the app|on )|bạn thấy bài viết",
-    "prompt": (
-        r"nghe bài viết|listen to this|kéo xuống để|story continues|continue reading|(?:gửi )?bình luận(?: \(\d+\))?$|comments? ?(?:\(\d+\))?$"
-        r"|\d+ (?:người đang xem|people are reading)|báo lỗi|report an error|xem bản in|in bài viết|print\b.{0,20}$|lên đầu trang|back to top"
-        r"|(?:mời độc giả )?đăng ký (?:nhận |bản )|subscribe|newsletters?$|sign (?:in|up)\b|đăng nhập|quảng cáo$|advertisement$"
-        r"|[-–—]? ?nội dung được tài trợ|sponsored content|tòa soạn tuyển|we are hiring|special coverage|bản tin đặc biệt|from our .{2,20} bureau$"
-    ),
-    "stamp": (
-        r".{2,60}°c$|cập nhật lúc|(?:last )?updated (?:at |on )?\d|published \d|\d+ min(?:ute)?s? read|\d{1,4}:\d{1,4}\b.{0,40}\(gmt|\d+ (?:giờ|phút|ngày) trước$"
-        r"|\d+ (?:hours?|minutes?|days?) ago$|mã bài|story code"
-    ),
-    "tags": r"(?:từ khóa|tags?|chủ đề|topics?|keywords?) ?:",
-    "related": (
-        r"(?:tin liên quan|bài viết khác|bài liên quan|cùng chuyên mục|đọc nhiều|đọc thêm|xem thêm|tin mới|mới nhất|có thể bạn|related (?:stories|articles)"
-        r"|you may also|more from|most (?:read|popular)|read (?:more|next)|trending|see also)(?:.{0,40})$"
-    ),
-    "neighbour": r"(?:trước|tiếp theo|tiếp|kế tiếp|previous|next|prev) ?: ",
-}
-_FURNITURE = re.compile("|".join(f"(?:{p})" for p in FURNITURE.values()), re.I)
-# First words of the patterns above, and parts of those that begin with any word.
-FIRST_WORDS = frozenset(
-    "bản giấy nghiêm thông nội this all registered vui disclaimer no chúng website trang we khi by your cho đường hotline tòa hộp liên contact editorial "
-    "chia share gửi send email theo follow bạn nghe listen kéo story continues continue bình comment comments báo report xem in print lên back mời đăng "
-    "subscribe newsletter newsletters sign quảng advertisement sponsored we special from cập last updated published mã từ tag tags chủ topic topics keyword "
-    "keywords tin bài cùng đọc mới có related you more most read trending see trước tiếp kế previous next prev".split()
-)
-INNER_PARTS = ("không chịu trách nhiệm về", "no liability", "lưu tệp nhỏ", "and its partners", "°c")
-#: Who wrote it: only lines without an ending full stop.
-_BYLINE = re.compile(
-    r"(?:tác giả|bài|thực hiện|ảnh|bài và ảnh|nguồn|biên tập|phóng viên|written by|edited by|editing by|photo|author) ?: ?.{1,60}$"
-    r"|pv [^.]{1,40}$|ban (?:kinh tế|biên tập|thời sự)\b|(?:by|reporting by) .{1,60}$|.{0,20}(?:tổ phóng viên|nhóm dữ liệu) ",
-    re.I,
-)
-_FIRST = re.compile(r"[^\W\d_]+")
-_RELATED = re.compile(FURNITURE["related"], re.I)
+def _cells(line: str) -> list[str]:
+    return [x.strip() for x in line.split(" | ")]
+
+
+def aligned(rows: list[list[str]]) -> list[str]:
+    """Table rows with their cells padded to the columns' widths."""
+    widths = [max(len(r[i]) if i < len(r) else 0 for r in rows) for i in range(max(map(len, rows), default=0))]
+    return [" | ".join(x.ljust(w) for x, w in zip(r, widths)).rstrip() for r in rows]
+
+
+def rendered(text: str | None, without: frozenset[int] | set[int] = frozenset()) -> str | None:
+    """All visible text of a page: block spacing, list marks and aligned table cells preserved.
+
+    Stored line breaks stay.  Paragraphs, headings, lists and tables are set off by one
+    blank line, items and rows stand on lines of their own, nested lists are indented,
+    and runs of rows with as many cells are aligned, in tables and in plain text alike.
+    Stored lines numbered in `without` are left out.  Null stays null.
+    """
+    if not text:
+        return text
+    out: list[str | None] = [""]  # None is a wanted blank line
+    line, depth, gap, in_row = 1, 0, False, False
+
+    def new_line(spaced: bool = False) -> None:
+        nonlocal gap
+        gap |= spaced
+        if out[-1] != "":
+            out.append("")
+
+    def put(s: str, stored: bool = False) -> None:
+        nonlocal gap
+        if gap and s.strip():
+            if len(out) > 1 and out[-2] != "" and out[-2] is not None and out[-1] == "":
+                out[-1:] = [None, ""]
+            gap = False
+        out[-1] += s
+
+    for what, piece, hidden in _walk(text):
+        if what in ("text", "lines"):
+            for k, part in enumerate(piece.split("\n")):
+                if k:
+                    line += 1
+                    if in_row:
+                        continue
+                    if out[-1] == "" and len(out) > 1 and out[-2] not in ("", None) and piece.count("\n") > 1:
+                        gap = True  # a stored blank line
+                    new_line()
+                if part and not hidden and line not in without and (part.strip() or out[-1]):
+                    put(part if out[-1].strip() else part.lstrip() if out[-1] else part)
+        elif hidden:
+            continue
+        elif what == "open":
+            if piece in ("ul", "ol"):
+                depth += 1
+                new_line(depth == 1)
+            elif piece == "li":
+                new_line()
+                if line not in without:
+                    put("  " * max(depth - 1, 0) + "• ")
+            elif piece == "tr":
+                new_line()
+                in_row = True
+            elif piece in SPACED:
+                new_line(True)
+            elif piece in BLOCK and piece not in ("td", "th"):
+                new_line()
+        elif piece in ("td", "th"):
+            if line not in without:
+                out[-1] = out[-1].rstrip() + " | "
+        elif piece == "tr":
+            in_row = False
+            out[-1] = out[-1].strip().removesuffix("|").rstrip() if out[-1].strip() != "|" else ""
+            new_line()
+        elif piece in ("ul", "ol"):
+            depth = max(0, depth - 1)
+            new_line(depth == 0)
+        elif piece in SPACED:
+            new_line(True)
+        elif piece in BLOCK:
+            new_line()
+    plain = ["" if x is None else x.rstrip() for x in out]
+    done, at = [], 0
+    while at < len(plain):  # runs of rows with as many cells
+        cells = _cells(plain[at]) if " | " in plain[at] else []
+        end = at + 1
+        while cells and end < len(plain) and " | " in plain[end] and len(_cells(plain[end])) == len(cells):
+            end += 1
+        done += aligned([_cells(x) for x in plain[at:end]]) if cells and end > at + 1 else plain[at:end]
+        at = end
+    kept = [x for k, x in enumerate(done) if x.strip() not in ("", "•") or x == "" and k and done[k - 1] != ""]
+    return "\n".join(kept).strip("\n")
+
+
 _STOPS = frozenset(".!?…")
 _BULLET = re.compile(r"^[-•»+*·–>]\s+")
 _QUOTE_MOVE = re.compile(r"[A-Z]{3,5} [\d.,]+ [+\-▲▼][\d.,]+%")
 _SEPARATOR = re.compile(r"\s*[|·>•/]\s+|\s{2,}|\t+")
-_LETTERCASE_WORDS = re.compile(r"[^\W\d_]+")
 _NUMBER = re.compile(r"\d")
-#: "Outlook: WXYZ", "Outlook - WXYZ"
-_HEADING_OF = re.compile(r"^(.{3,60}?)\s*[:\-–]\s*[A-Z][A-Z0-9]{2,4}$")
-HEADING_OF_NATIVE = r"^(.{3,60}?)\s*[:\-–]\s*[A-Z][A-Z0-9]{2,4}$"
-SEPARATOR_NATIVE = r"\s*[|·>•]\s+|\s{2,}|\t+"
-MAX_ITEM_WORDS, MIN_BAR_ITEMS = 5, 3
-
-
-def page_vocabulary(df: DataFrame, text: str, min_share: float = 5e-4, min_rows: int = 3) -> DataFrame:
-    """(kind, item) over all rows: items of menu bars ('menu') and cores of headings ('heading').
-
-    A menu bar is a line without digits or a full stop that splits into at least three
-    short items.  A heading core is what stands before ": TICKER" or " - TICKER".
-    Items of fewer than min_rows rows, or of fewer than min_share of all rows, are no
-    vocabulary; as a row adds at most its own items, that share bounds the result's
-    size whatever the input.  Native expressions, one pre-aggregated shuffle of short
-    strings.  An empty table gives an empty result.
+_LETTER = re.compile(r"[^\W\d_]")
+#: A heading that names its company: "Outlook: WXYZ", "Outlook - WXYZ".
+_HEADING_OF = re.compile(r"^([^\W\d_].{2,59}?)\s*[:\-–]\s*[A-Z][A-Z0-9]{2,4}$")
+_CODE_FIRST = re.compile(r"^[A-Z]{3,5}\b")
+MAX_ITEM_WORDS, MIN_BAR_ITEMS, MAX_HEADING_WORDS = 5, 3, 8
+#: Shares of a source's rows from which on a fragment is the page's anywhere or as the first line, a sentence is, and a heading core is known.
+FRAGMENT_SHARE, EDGE_SHARE, SENTENCE_SHARE, HEADING_SHARE = 0.03, 0.005, 0.10, 0.001
+FRAGMENT_ROWS, HEADING_ROWS = 4, 3
+#: Items of all sources that are sent to every task; beyond, lines are joined with them.
+#: A source has at most (lines of a row) / HEADING_SHARE of them.
+SENT = 200_000
+#: Kinds of what is known of a source's lines.
+FRAGMENT, SENTENCE, HEADING, EDGE = 1, 2, 3, 4
+
+
+def _core(line: str) -> str | None:
+    """What stands before the company of a heading, in lower case."""
+    m = _HEADING_OF.match(line)
+    if m and not _CODE_FIRST.match(m[1]) and m[1].count(" ") < MAX_HEADING_WORDS:
+        return m[1].lower()
+    return None
+
+
+def _line_items(s: str, text: str) -> set[tuple[int, str]]:
+    """(0, form) of the lines of a row and (1, core) of its headings, tags taken out, and (2, "") for the row.
+
+    A row of one line has no page around it and counts for nothing.
+    """
+    if "<" in text:
+        text = _TAG.sub("", text)
+    forms = {f for f in repeated.line_forms(text) if f}
+    if len(forms) < 2:
+        return set()
+    items = {(0, f) for f in forms}
+    for line in text.split("\n"):
+        if len(line) < 90 and (core := _core(line.strip())):
+            items.add((1, core))
+    items.add((2, ""))
+    return items
+
+
+def known_lines(df: DataFrame, text: str, source: str) -> DataFrame:
+    """(s, heading, item, kind): forms that are the page's and cores of headings, by source, over all its rows.
+
+    Partial counts per partition are merged; every share is one of the source's own
+    rows of several lines, so neither other sources nor the table's size matter.
     """
-    plain = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), "<[^>]*>", "")
-    lines = df.select(F.explode(F.array_distinct(F.split(plain, "\n"))).alias("l")).where(
-        (F.length("l") < 160) & ~F.col("l").rlike(r"\d|[.!?…\"”]\s*$") & F.col("l").rlike(r"\S")
-    )
-    l = F.trim(F.regexp_replace("l", r"^[\s]+|[\s]+$", ""))  # noqa: E741
-    parts = F.filter(F.split(l, SEPARATOR_NATIVE), lambda x: F.length(x) > 0)
-    short = ~F.exists(parts, lambda x: F.size(F.split(x, r"\s+")) > MAX_ITEM_WORDS)
-    core = F.regexp_extract(l, HEADING_OF_NATIVE, 1)
-    none = F.array().cast("array<string>")
-    menu = F.when((F.size(parts) >= MIN_BAR_ITEMS) & short & (core == ""), F.transform(parts, lambda x: F.lower(x))).otherwise(none)
-    head = F.when((core != "") & (F.size(F.split(core, r"\s+")) <= 8) & ~core.rlike(r"^[A-Z]{3,5}\b"), F.array(F.lower(core))).otherwise(none)
-    tagged = F.concat(
-        F.transform(menu, lambda x: F.struct(F.lit("menu").alias("kind"), x.alias("item"))),
-        F.transform(head, lambda x: F.struct(F.lit("heading").alias("kind"), x.alias("item"))),
-    )
-    counted = lines.select(F.explode(tagged).alias("t")).groupBy("t.kind", "t.item").count()
-    total = df.agg(F.count(F.lit(1)).alias("rows"))
-    return counted.crossJoin(F.broadcast(total)).where(
-        (F.col("count") >= min_rows) & (F.col("count") >= F.col("rows") * min_share)
-    ).select("kind", "item")
-
-
-def page_lines(text: str | None, title: str | None, menu: frozenset[str], headings: frozenset[str], in_form: bool = False) -> list[int]:
+    schema = pa.schema([("s", pa.string()), ("heading", pa.int32()), ("item", pa.int64()), ("n", pa.int64())])
+    counted = repeated.counted_items(df, source, text, schema, ["heading", "item"], _line_items, lambda x: (int(x[0]), repeated.number(x[1])))
+    counted = counted.where(F.col("n") >= min(FRAGMENT_ROWS, HEADING_ROWS)).checkpoint()  # read twice
+    rows = counted.where("heading = 2").select("s", F.col("n").alias("rows"))
+    share = F.col("n") / F.col("rows")
+    page = F.when(share >= SENTENCE_SHARE, SENTENCE).when(share >= FRAGMENT_SHARE, FRAGMENT).when(share >= EDGE_SHARE, EDGE)
+    kind = F.when((F.col("heading") == 0) & (F.col("n") >= FRAGMENT_ROWS), page).when((F.col("heading") == 1) & (share >= HEADING_SHARE), HEADING)
+    return counted.join(rows, "s").select("s", "heading", "item", kind.alias("kind")).where("kind is not null")
+
+
+class Known:
+    """Kinds of items by source, as sent to tasks: {source: {(heading, hash): kind}}."""
+
+    def __init__(self, rows: list):
+        self.kinds: dict[str, dict] = {}
+        for s, heading, item, kind in rows:
+            self.kinds.setdefault(s, {})[heading, item] = kind
+
+    def of(self, s: str | None) -> dict:
+        return self.kinds.get("\x00null" if s is None else s, {})
+
+
+def page_lines(text: str | None, title: str | None, kinds: dict | None = None, in_form: bool = False) -> list[int]:
     """Numbers of the non-blank lines that are the page's, not the article's.
 
-    Null, empty or blank text: none.  A text of one non-blank line is its own text
-    unless the line is furniture by its wording.
+    kinds: what is known of the source's lines.  Null, empty or blank text: none.  A
+    text of one non-blank line is its own text unless that line alone shows it is the
+    page's.
     """
     if not text:
         return []
     if not in_form:
         text = consistent(text)
-    if "<" in text:
-        seen = render(text)
-    else:
-        seen = [(n, s, False) for n, s in enumerate(text.split("\n"), 1)]
+    seen = render(text) if "<" in text else [(n, s, False) for n, s in enumerate(text.split("\n"), 1)]
     rows = [(n, s, _plain(s), h) for n, s, h in seen if s and not s.isspace()]
     if not rows:
         return []
     want = " ".join(consistent(title or "").lower().split()).rstrip(".")
-    kinds = [_kind(plain, raw, hid, menu, headings, want) for _, raw, plain, hid in rows]
+    judged = [_kind(plain, raw, hid, want, kinds or {}) for _, raw, plain, hid in rows]
+    for k in range(len(rows) - 1):  # a bar above a table row of as many cells is its header
+        if judged[k] == "bar":
+            cells = rows[k][2].count(" | ")
+            judged[k] = "own" if cells and judged[k + 1] == "own" and rows[k + 1][2].count(" | ") == cells else "page"
+    judged[-1] = "page" if judged[-1] == "bar" else judged[-1]
+    judged = ["page" if x == "edge" and not k else "short" if x == "edge" else x for k, x in enumerate(judged)]
     if len(rows) == 1:
-        return [rows[0][0]] if kinds[0] == "page" else []
-    out, related = [], False
-    last = len(rows) - 1
-    for k, ((n, _, plain, _), kind) in enumerate(zip(rows, kinds)):
-        if kind == "page":
-            out.append(n)
-            related = bool(_RELATED.match(plain))
-            continue
-        if kind == "own":
-            related = False
-            continue
-        # Short or open-ended: a teaser in a related block, a menu item at an edge,
-        # a heading where the article's own text surrounds it.
-        if kind == "open" or related:
-            out.append(n)
-        elif not _between(kinds, k, last):
+        return [rows[0][0]] if judged[0] == "page" else []
+    after, following = "edge", []
+    for kind in reversed(judged):  # nearest judged line after each
+        following.append(after)
+        after = after if kind == "short" else kind
+    out, before = [], "edge"
+    for k, ((n, *_), kind, after) in enumerate(zip(rows, judged, reversed(following))):
+        # open-ended lines are teasers; a short one is a menu item at an edge and a heading before the article's own text
+        if kind in ("page", "open") or kind == "short" and not (after == "own" and (before == "own" or k == 0)):
             out.append(n)
+        before = before if kind == "short" else kind
     return out
 
 
@@ -235,86 +327,132 @@ def _plain(line: str) -> str:
     return line.strip()
 
 
-def _between(kinds: list[str], k: int, last: int) -> bool:
-    """Whether the nearest judged lines before and after are the article's own."""
-    before = next((x for x in reversed(kinds[:k]) if x != "short"), "edge")
-    after = next((x for x in kinds[k + 1 :] if x != "short"), "edge")
-    return after == "own" and before in ("own", "edge", "page") and (before == "own" or k == 0)
-
-
-def _kind(line: str, raw: str, hidden: bool, menu: frozenset[str], headings: frozenset[str], title: str) -> str:
-    """page, own, short (could be a heading) or open (unfinished, as teasers are)."""
+def _kind(line: str, raw: str, hidden: bool, title: str, kinds: dict) -> str:
+    """page, own, bar (of short items), short (could be a heading), edge (short and known) or open (unfinished, as teasers are)."""
     if hidden:
         return "page"
     low = line.lower()
     if title and len(low) < len(title) + 3 and low.rstrip(".") == title:
         return "own"
-    start = low.lstrip("-–—•»+*· >")
-    word = _FIRST.match(start)
-    likely = word is None or word.group() in FIRST_WORDS or any(x in low for x in INNER_PARTS)
-    if likely and _FURNITURE.match(start) or (("▲" in line or "▼" in line or "%" in line) and _QUOTE_MOVE.match(line)):
-        return "page"
-    ended = line.rstrip("\"”’')]")[-1:] in _STOPS
-    if ended:
-        return "own"
-    words = line.split()
-    if len(words) <= 9 and _BYLINE.match(start):
+    if ("▲" in line or "▼" in line or "%" in line) and _QUOTE_MOVE.match(line):
         return "page"
-    if low in menu or start in menu:
+    bar = line.find("|")
+    if bar > 0 and _NUMBER.search(line, bar) and not _LETTER.search(line, bar):
+        return "own"  # a label and cells of numbers
+    number = _NUMBER.search(low)
+    known = kinds.get((0, repeated.number(repeated.DIGITS.sub("0", low) if number else low))) if kinds else None
+    if known == SENTENCE and line[-1] in _STOPS:
         return "page"
-    parts = [p for p in _SEPARATOR.split(raw.strip().lower()) if p]
-    if len(parts) >= 2 and not _NUMBER.search(line):
-        known = sum(" ".join(p.split()) in menu for p in parts)
-        if known * 2 >= len(parts) or (len(parts) >= 3 and all(len(p.split()) <= MAX_ITEM_WORDS for p in parts)):
-            return "page"
-    if "|" in line and _NUMBER.search(line):
+    ended = line.rstrip("\"”’')]")[-1:] in _STOPS
+    if ended and known != SENTENCE:
         return "own"
-    m = _HEADING_OF.match(line)
-    if low in headings or low.rstrip("?:") in headings or (m and m[1].lower() in headings):
+    if kinds and kinds.get((1, repeated.number(_core(line) or low.rstrip("?:")))):
         return "own"
-    if _BULLET.match(line) or len(words) > 8:
+    if known == SENTENCE or known == FRAGMENT:
+        return "bar" if " | " in line else "page"
+    words = line.count(" ") + 1
+    parts = [p for p in _SEPARATOR.split(raw.strip()) if p]
+    if len(parts) >= MIN_BAR_ITEMS and not number and all(p.count(" ") < MAX_ITEM_WORDS for p in parts):
+        return "bar"
+    if len(parts) == 2 and "|" in line and words <= MAX_ITEM_WORDS * 2:
+        return "bar"
+    if _BULLET.match(line) or words > MAX_HEADING_WORDS:
         return "open"
-    return "short"
+    return "edge" if known == EDGE else "short"
 
 
 _SCHEMA_LINES = T.ArrayType(T.IntegerType())
 
 
-def line_judge(menu: frozenset[str], headings: frozenset[str]):
-    """Pandas UDF (text, title) -> numbers of the page's lines."""
+def line_judge(known: Known):
+    """Pandas UDF (text, title, source) -> numbers of the page's lines."""
 
     @F.pandas_udf(_SCHEMA_LINES)
-    def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for text, title in batches:
-            yield pd.Series([page_lines(t, h, menu, headings) for t, h in zip(text, title)], dtype=object)
+    def judge(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for text, title, source in batches:
+            yield pd.Series([page_lines(t, h, known.of(s)) for t, h, s in zip(text, title, source)], dtype=object)
 
     return judge
 
 
-def collect_vocabulary(vocabulary: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
-    """The bounded vocabulary as driver sets; a heading core wins over a menu item."""
-    rows = vocabulary.collect()
-    headings = frozenset(r["item"] for r in rows if r["kind"] == "heading")
-    return frozenset(r["item"] for r in rows if r["kind"] == "menu") - headings, headings
+def known_of(known: DataFrame) -> Known | None:
+    """What is sent to tasks, None if there is more of it than SENT."""
+    rows = known.take(SENT + 1)
+    return Known([tuple(r) for r in rows]) if len(rows) <= SENT else None
 
 
-def page_line_numbers(df: DataFrame, text: str, title: str, vocabulary: DataFrame | None = None) -> Column:
-    """Column of array<int>: numbers of the lines of `text` that are not the article's own."""
-    menu, headings = collect_vocabulary(page_vocabulary(df, text) if vocabulary is None else vocabulary)
-    return line_judge(menu, headings)(F.col(text).cast("string"), F.col(title).cast("string"))
+def _marked(df: DataFrame, key: str, text: str, source: str, known: DataFrame) -> DataFrame:
+    """(__k, __kinds): the known items of each row's own lines by a join, salted within sources."""
+    of = T.ArrayType(T.StructType([T.StructField("heading", T.IntegerType()), T.StructField("item", T.LongType())]))
+    items = F.pandas_udf(lambda t: t.map(lambda x: [(int(h), repeated.number(f)) for h, f in sorted(_line_items("", consistent(x)))] if x else []), of)
+    rows = df.select(F.col(key).alias("__k"), repeated.source_of(source).alias("s"), F.explode(items(F.col(text).cast("string"))).alias("i")).select("__k", "s", "i.*")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("__k"), F.lit(repeated.SALTS)))
+    spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(repeated.SALTS - 1).cast("long"))))
+    return rows.join(spread, ["s", "heading", "item", "salt"]).groupBy("__k").agg(F.collect_list(F.struct("heading", "item", "kind")).alias("__kinds"))
 
 
-def find_page_lines(df: DataFrame, key: str, text: str, title: str) -> DataFrame:
+def with_page_lines(df: DataFrame, key: str, text: str, title: str, source: str, out: str) -> DataFrame:
+    """df with `out`: numbers of the lines of `text` that are the page's.
+
+    What is known of the sources' lines is sent to the tasks up to SENT items; beyond,
+    each row is joined with what is known of its own lines (key must be unique then).
+    """
+    known = known_lines(df, text, source).checkpoint()
+    sent = known_of(known)
+    columns = [F.col(text).cast("string"), F.col(title).cast("string")]
+    if sent is not None:
+        return df.withColumn(out, line_judge(sent)(*columns, F.col(source).cast("string")))
+
+    @F.pandas_udf(_SCHEMA_LINES)
+    def judge(texts: pd.Series, titles: pd.Series, kinds: pd.Series) -> pd.Series:
+        return pd.Series([page_lines(t, h, _kinds_of(k)) for t, h, k in zip(texts, titles, kinds)], dtype=object)
+
+    marked = df.join(_marked(df, key, text, source, known), df[key] == F.col("__k"), "left")
+    return marked.withColumn(out, judge(*columns, "__kinds")).drop("__k", "__kinds")
+
+
+def line_dropper(df: DataFrame, key: str, text: str, source: str, context: str = "__context"):
+    """(df with `context`, dropper(text in consistent form, title, context)) for operators that leave the page's lines out."""
+    known = known_lines(df, text, source).checkpoint()
+    sent = known_of(known)
+    if sent is not None:
+        return df.withColumn(context, F.col(source).cast("string")), lambda t, h, s: page_lines(t, h, sent.of(s), in_form=True)
+    marked = df.join(_marked(df, key, text, source, known), df[key] == F.col("__k"), "left").drop("__k").withColumnRenamed("__kinds", context)
+    return marked, lambda t, h, kinds: page_lines(t, h, _kinds_of(kinds), in_form=True)
+
+
+def _kinds_of(rows) -> dict:
+    return {} if rows is None else {(x["heading"], x["item"]): x["kind"] for x in rows}
+
+
+def find_page_lines(df: DataFrame, key: str, text: str, title: str, source: str) -> DataFrame:
     """(key, line_no) of each non-blank line that is the page's."""
-    return df.select(F.col(key), F.explode(page_line_numbers(df, text, title)).alias("line_no"))
+    return with_page_lines(df, key, text, title, source, "__page").select(F.col(key), F.explode("__page").alias("line_no"))
 
 
-def main_body(df: DataFrame, text: str, title: str, out: str = "main_body") -> DataFrame:
+def main_body(df: DataFrame, key: str, text: str, title: str, source: str, out: str = "main_body") -> DataFrame:
     """df with `out`: the text without the page's lines (other lines as stored).
 
     A null text stays null.  A column of df named `out` is replaced.
     """
-    numbers = page_line_numbers(df, text, title)
     lines = F.split(F.col(text).cast("string"), "\n", -1)
     kept = F.filter(F.transform(lines, lambda x, i: F.struct((i + 1).alias("n"), x.alias("x"))), lambda s: ~F.array_contains(F.col("__page"), s["n"]))
-    return df.withColumn("__page", numbers).withColumn(out, F.when(F.col(text).isNotNull(), F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))).drop("__page")
+    marked = with_page_lines(df, key, text, title, source, "__page")
+    return marked.withColumn(out, F.when(F.col(text).isNotNull(), F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))).drop("__page")
+
+
+@F.pandas_udf(T.StringType())
+def _rendered_udf(texts: pd.Series, without: pd.Series) -> pd.Series:
+    return pd.Series([rendered(t, set() if w is None else {int(n) for n in w}) for t, w in zip(texts, without)], dtype=object)
+
+
+def rendered_text(column: Column | str, without: Column | None = None) -> Column:
+    """Visible text of a page, without the stored lines numbered in `without`."""
+    c = F.col(column) if isinstance(column, str) else column
+    return _rendered_udf(c.cast("string"), F.array().cast("array<int>") if without is None else without)
+
+
+def rendered_body(df: DataFrame, key: str, text: str, title: str, source: str, out: str = "main_text") -> DataFrame:
+    """df with `out`: the main body as it is read, rendered without tags and without the page's lines."""
+    marked = with_page_lines(df, key, text, title, source, "__page")
+    return marked.withColumn(out, rendered_text(text, F.col("__page"))).drop("__page")

@@ -1,11 +1,18 @@
 """Near-duplicate records by an LSH forest over word shingles.
 
-Method: every distinct text gets min-hash values; a tree is one order of them.  Rows
-are sorted by tree and signature, and rows that share a prefix of BASE_DEPTH values are
-neighbours.  All neighbours of a region are compared, however many: a large region is
-cut into blocks and its pairs of blocks are spread over tasks, so recall does not depend
-on its size.  Neighbours whose short sketches agree enough become candidates and are
-checked on their shingle sets.
+Method: every distinct text gets min-hash values; a tree is one order of them, with
+values of its own.  Rows are range-partitioned and sorted by tree and signature, so the
+neighbours of a row are those with the longest common prefix.  How deep a prefix must
+agree depends on the region: two values where few rows share them, three elsewhere.
+All rows of a region are compared, however many; a region that is large, or that a
+partition's border may cut, is given out in blocks, and its pairs of blocks are spread
+over tasks.  So neither recall nor the longest task depends on a region's size.
+Neighbours whose short sketches agree enough become candidates and are checked on
+their shingle sets.
+
+Going deeper than three values in large regions would not do: a pair of Jaccard 0.6
+shares five values of a tree with probability 0.08, so some 90 trees would be needed
+for the recall of 20, and rows of a crowd that are 0.5 alike would meet as often.
 
 Exact copies meet first: texts with one shingle set are one class, and only class
 representatives enter the forest.  Between representatives there is one row per link.
@@ -20,41 +27,43 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .mainbody import page_lines
 from .textform import consistent
 
-#: Trees of the forest, min-hash values that neighbours share, values a region was once
-#: split by (a test's data has them, nothing is separated by them), bytes of the sketch.
-TREES, BASE_DEPTH, MORE_DEPTH, SKETCH = 20, 3, 4, 40
-#: Rows of a small region, rows compared at a time, and rows of a region that one task compares.
-SMALL, CROWDED, BLOCK = 16, 256, 2048
+#: Trees of the forest, min-hash values of 16 bits that a tree's key has, bytes of the sketch.
+TREES, DEPTH, SKETCH = 20, 3, 40
+#: Rows up to which two shared values make a region, rows compared at a time, rows of a
+#: region that one task compares, and sorted rows held at a time.
+SMALL, PART, BLOCK, HELD_ROWS = 16, 256, 2048, 1 << 18
+#: Title, text and the drop_lines context of a record -> numbers of lines left out.
+Dropper = Callable[[str, "str | None", object], list[int]]
 WORDS, THRESHOLD, MIN_WORDS = 5, 0.8, 1
 _WORD = re.compile(r"\w+")
 _TAG = re.compile(r"<[^>]*>")
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9)]
-_SEEDS = np.random.RandomState(7).randint(1, 2**32 - 1, size=(2, TREES * BASE_DEPTH + SKETCH), dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+_SEEDS = np.random.RandomState(7).randint(1, 2**32 - 1, size=TREES * DEPTH + SKETCH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
-def own_text(title: str | None, text: str | None, drop_lines: Callable[[str, str | None], list[int]]) -> str:
+def own_text(title: str | None, text: str | None, drop_lines: Dropper, context: object = None) -> str:
     """Title and text in consistent form and lower case, without the page's lines, then without tags.
 
     drop_lines gets the text in consistent form.
     """
     text = consistent(text or "")
-    dropped = set(drop_lines(text, title))
+    dropped = set(drop_lines(text, title, context))
     body = "\n".join(x for n, x in enumerate(text.split("\n"), 1) if n not in dropped) if dropped else text
     if "<" in body:
         body = _TAG.sub(" ", body)
     return f"{consistent(title or '')}\n{body}".lower()
 
 
-def words_of(title: str | None, text: str | None, drop_lines: Callable[[str, str | None], list[int]]) -> list[str]:
+def words_of(title: str | None, text: str | None, drop_lines: Dropper, context: object = None) -> list[str]:
     """The words of a record: runs of letters and digits."""
-    return _WORD.findall(own_text(title, text, drop_lines).replace("_", " "))
+    return _WORD.findall(own_text(title, text, drop_lines, context).replace("_", " "))
 
 
 _LETTER = np.array([chr(c).isalnum() for c in range(0x30000)])
@@ -119,10 +128,10 @@ def shingle_sets(numbers: np.ndarray, sizes: np.ndarray, words: int, min_words:
     return np.concatenate([np.zeros(0, np.uint64), *sets]), np.cumsum([0, *map(len, sets)])
 
 
-def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Bytes per set: 16-bit min-hash values of the trees, then a byte per value of the sketch."""
+def signatures(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, sketches) per set: per tree a key of its number and its min-hash values, and a byte per value of the sketch."""
     n = len(starts) - 1
-    low = np.zeros((n, _SEEDS.shape[1]), np.uint32)
+    low = np.zeros((n, len(_SEEDS)), np.uint32)
     short = (values >> np.uint64(32)).astype(np.uint32)
     for at in range(0, n, 256):  # a block's numbers stay in the cache
         to = min(at + 256, n)
@@ -131,51 +140,49 @@ def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
         if not len(filled):
             continue
         cuts, x = starts[at:to][filled] - a, short[a:b]
-        for k in range(_SEEDS.shape[1]):
-            y = x * _SEEDS[0, k]
-            y ^= y >> np.uint32(15)
-            y *= _SEEDS[1, k]
-            low[at + filled, k] = np.minimum.reduceat(y, cuts)
+        for k, seed in enumerate(_SEEDS):  # shingles are hashed already, so a product orders them at random
+            low[at + filled, k] = np.minimum.reduceat(x * seed, cuts)
     low ^= low >> np.uint32(16)
     low *= np.uint32(0x85EBCA6B)
-    top = (low >> np.uint32(16)).astype(">u2")
-    trees = TREES * BASE_DEPTH
-    return np.concatenate([np.ascontiguousarray(top[:, :trees]).view(np.uint8).reshape(n, -1), (top[:, trees:] & 0xFF).astype(np.uint8)], 1)
+    top = (low >> np.uint32(16)).astype(np.int64)
+    keys = np.repeat(np.arange(TREES, dtype=np.int64)[None], n, 0)
+    for d in range(DEPTH):
+        keys = keys << 16 | top[:, d : TREES * DEPTH : DEPTH]
+    return keys, (top[:, TREES * DEPTH :] & 0xFF).astype(np.uint8)
 
 
-_SIGNED = T.StructType([T.StructField("cls", T.BinaryType()), T.StructField("sig", T.BinaryType())])
+_SIGNED = T.StructType([T.StructField("cls", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
 
 
 #: Records whose words are held at a time.
 HELD = 400
 
 
-def _slices(title: pd.Series, text: pd.Series, drop_lines: Callable, words: int, min_words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Shingle sets of a batch, some hundred records at a time."""
-    for at in range(0, len(title), HELD):
-        texts = [own_text(h, x, drop_lines) for h, x in zip(title[at : at + HELD], text[at : at + HELD])]
+def _slices(columns: tuple[pd.Series, ...], drop_lines: Dropper, words: int, min_words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingle sets of a batch of titles, texts and contexts, some hundred records at a time."""
+    for at in range(0, len(columns[0]), HELD):
+        texts = [own_text(h, x, drop_lines, c) for h, x, c in zip(*(s[at : at + HELD] for s in columns))]
         yield shingle_sets(*word_numbers(texts), words, min_words)
 
 
-def _signer(words: int, min_words: int, drop_lines: Callable):
+def _signer(words: int, min_words: int, drop_lines: Dropper):
     @F.pandas_udf(_SIGNED)
-    def sign(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for title, text in batches:
+    def sign(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
             out = []
-            for values, starts in _slices(title, text, drop_lines, words, min_words):
-                signed = signatures(values, starts)
-                out += [(hashlib.md5(values[a:b].tobytes()).digest(), signed[i].tobytes()) if b > a else (None, None) for i, (a, b) in enumerate(zip(starts, starts[1:]))]
-            yield pd.DataFrame(out, columns=["cls", "sig"])
+            for values, starts in _slices(columns, drop_lines, words, min_words):
+                keys, sketches = signatures(values, starts)
+                out += [(hashlib.md5(values[a:b].tobytes()).digest(), keys[i], sketches[i].tobytes()) if b > a else (None, None, None) for i, (a, b) in enumerate(zip(starts, starts[1:]))]
+            yield pd.DataFrame(out, columns=["cls", "keys", "sketch"])
 
     return sign
 
 
-def _packer(words: int, drop_lines: Callable):
+def _packer(words: int, drop_lines: Dropper):
     @F.pandas_udf(T.BinaryType())
-    def pack(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for title, text in batches:
-            sets = [_packed(v[a:b]) for v, s in _slices(title, text, drop_lines, words, 1) for a, b in zip(s, s[1:])]
-            yield pd.Series(sets, dtype=object)
+    def pack(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            yield pd.Series([_packed(v[a:b]) for v, s in _slices(columns, drop_lines, words, 1) for a, b in zip(s, s[1:])], dtype=object)
 
     return pack
 
@@ -212,9 +219,9 @@ def _alike(ids: np.ndarray, sketches: np.ndarray, others: np.ndarray | None, mor
     """(smaller, larger) ids of pairs whose sketches agree enough, within a block or between two."""
     one = np.ascontiguousarray(sketches.T)
     two = one if others is None else np.ascontiguousarray(more.T)
-    for at in range(0, one.shape[1], CROWDED):  # parts bound the memory of the comparison
-        for to in range(at if others is None else 0, two.shape[1], CROWDED):
-            x, y = one[:, at : at + CROWDED, None], two[:, None, to : to + CROWDED]
+    for at in range(0, one.shape[1], PART):  # parts bound the memory of the comparison
+        for to in range(at if others is None else 0, two.shape[1], PART):
+            x, y = one[:, at : at + PART, None], two[:, None, to : to + PART]
             same = np.zeros((x.shape[1], y.shape[2]), np.uint8)
             for k in range(SKETCH):
                 same += (x[k] == y[k]).view(np.uint8)
@@ -226,8 +233,9 @@ def _alike(ids: np.ndarray, sketches: np.ndarray, others: np.ndarray | None, mor
             yield np.minimum(a, b), np.maximum(a, b)
 
 
-#: Pairs, or blocks of regions that are too large for one task.
-_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("no", pa.int32()), ("block", pa.struct([("ids", pa.binary()), ("sketches", pa.binary())]))])
+#: Pairs, or blocks of regions to be compared with the region's other blocks: the key (below 0 for a prefix of two values), a number within it, rows.
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("no", pa.int64()), ("rows", pa.int32()), ("block", pa.struct([("ids", pa.binary()), ("sketches", pa.binary())]))])
+_MET_SQL = "a long, b long, key long, no long, rows int, block struct<ids: binary, sketches: binary>"
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -235,63 +243,70 @@ def _met(out: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return np.unique(np.stack([np.concatenate([x[i] for x in out]) for i in (0, 1)], 1), axis=0) if out else np.zeros((0, 2), np.int64)
 
 
-def _neighbours(least: int, most: int | None = None):
-    """Candidates among rows sorted by tree key; a region may span batches.
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of one value."""
+    edges = np.flatnonzero(key[1:] != key[:-1]) + 1
+    return np.concatenate([[0], edges]), np.concatenate([edges, [len(key)]])
 
-    A region of more than `most` rows is given out in blocks of so many instead.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, given = None, 0  # the last region, and how many blocks of it were given out
 
-        def blocks(key: int, no: int, ids: np.ndarray, sketch: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for n, at in enumerate(range(0, len(ids), most)):
-                block = {"ids": ids[at : at + most].tobytes(), "sketches": sketch[at : at + most].tobytes()}
-                yield pa.RecordBatch.from_pylist([{"key": int(key), "no": no + n, "block": block}], _MET)
+def _regions(least: int, most: int, held: int):
+    """Candidates among rows sorted by key, `held` rows at a time.
 
-        def pairs(out: list) -> Iterator[pa.RecordBatch]:
-            if len(met := _met(out)):
-                yield pa.RecordBatch.from_arrays([pa.array(met[:, 0]), pa.array(met[:, 1]), *(pa.nulls(len(met), f.type) for f in [*_MET][2:])], schema=_MET)
+    Whole regions are compared at once.  The first and the last region of what is held
+    may go on elsewhere, so they are given out in blocks, as regions of more than `most`
+    rows are; so are small runs of two shared values there.
+    """
 
-        def whole(key: np.ndarray, ids: np.ndarray, sketch: np.ndarray, given: int) -> Iterator[pa.RecordBatch]:
-            """Whole regions; of the first, some blocks may have been given out."""
-            out: list = []
-            edges = np.flatnonzero(key[1:] != key[:-1]) + 1
-            starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(key)]])
-            rest = np.repeat(ends, ends - starts) - np.arange(len(key)) - 1  # rows of the region that follow
-            rest[np.repeat(ends - starts > SMALL, ends - starts)] = 0
-            if given:
-                rest[: ends[0]] = 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32 if TaskContext.get() else 0
+
+        def blocks(key: int, ids: np.ndarray, sketch: np.ndarray) -> Iterator[dict]:
+            nonlocal number
+            for at in range(0, len(ids), most):
+                part = ids[at : at + most]
+                yield {"key": int(key), "no": number, "rows": len(part), "block": {"ids": part.tobytes(), "sketches": sketch[at : at + most].tobytes()}}
+                number += 1
+
+        def compared(key: np.ndarray, ids: np.ndarray, sketch: np.ndarray) -> Iterator[pa.RecordBatch]:
+            out, given = [], []
+            starts, ends = _runs(key)
+            starts2, ends2 = _runs(key >> 16)
+            few = np.repeat(ends2 - starts2 <= SMALL, ends2 - starts2)
+            inner = np.repeat((starts2 > 0) & (ends2 < len(key)), ends2 - starts2)
+            end = np.repeat(ends, ends - starts)
+            size = end - np.repeat(starts, ends - starts)
+            # rows of the region that follow: of the run of two values where that is small, else of three
+            unit = np.where(few & inner, np.repeat(ends2, ends2 - starts2), np.where(size <= SMALL, end, 0))
+            unit[: ends[0]] = unit[starts[-1] :] = 0  # the outer regions are given out
+            rest = unit - np.arange(len(key)) - 1
             for ahead in range(1, SMALL):  # all small regions at once
                 i = np.flatnonzero(rest >= ahead)
                 i = i[(sketch[i] == sketch[i + ahead]).sum(1) >= least]
                 out.append((np.minimum(ids[i], ids[i + ahead]), np.maximum(ids[i], ids[i + ahead])))
-            for k in sorted({*np.flatnonzero(ends - starts > SMALL), *([0] if given else [])}):
-                a, b, no = starts[k], ends[k], 0 if k else given
-                if no or most and b - a > most:
-                    yield from blocks(key[a], no, ids[a:b], sketch[a:b])
+            for k in sorted({0, len(starts) - 1, *np.flatnonzero(ends - starts > SMALL)}):
+                a, b = starts[k], ends[k]
+                if k in (0, len(starts) - 1) or b - a > most:
+                    given += blocks(key[a], ids[a:b], sketch[a:b])
                 else:
                     out += _alike(ids[a:b], sketch[a:b], None, None, least)
-            yield from pairs(out)
+            for k in {0, len(starts2) - 1}:
+                a, b = starts2[k], min(ends2[k], starts2[k] + SMALL + 1)
+                given += blocks(-1 - int(key[a] >> 16), ids[a:b], sketch[a:b])
+            if len(met := _met(out)):
+                yield pa.RecordBatch.from_arrays([pa.array(met[:, 0]), pa.array(met[:, 1]), *(pa.nulls(len(met), f.type) for f in [*_MET][2:])], schema=_MET)
+            for at in range(0, len(given), 64):
+                yield pa.RecordBatch.from_pylist(given[at : at + 64], _MET)
 
+        kept: list[list[np.ndarray]] = []
         for batch in batches:
-            n = len(batch)
-            if not n:
-                continue
-            rows = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "id")]
-            rows.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(n, SKETCH))
-            rows = [np.concatenate(x) for x in zip(held, rows)] if held else rows
-            last = int(np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))[-1])
-            if last:  # the last region may go on in the next batch
-                yield from whole(*(x[:last] for x in rows), given)
-                rows, given = [x[last:] for x in rows], 0
-            if most and len(rows[0]) > most:  # a row stays, which ends the region later
-                full = (len(rows[0]) - 1) // most * most
-                yield from blocks(rows[0][0], given, *(x[:full] for x in rows[1:]))
-                rows, given = [x[full:] for x in rows], given + full // most
-            held = rows
-        if held:
-            yield from whole(*held, given)
+            if len(batch):
+                sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(len(batch), SKETCH)
+                kept.append([*(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "id")), sketch])
+            if sum(len(x[0]) for x in kept) >= held:
+                yield from compared(*map(np.concatenate, zip(*kept)))
+                kept = []
+        if kept:
+            yield from compared(*map(np.concatenate, zip(*kept)))
 
     return run
 
@@ -313,44 +328,44 @@ def _between(least: int):
 
 
 def forest_candidates(reps: DataFrame, threshold: float) -> DataFrame:
-    """(a, b), a < b: pairs of representatives that meet in some tree; reps has id, sig."""
-    values, least = 2 * TREES * BASE_DEPTH, least_agreement(threshold)
-    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    rows = reps.select("id", "sig", F.substring("sig", values + 1, SKETCH).alias("sketch"), trees.alias("t"))
-    at = F.col("t") * (2 * BASE_DEPTH) + 1
-    rows = rows.select(F.xxhash64("t", F.substring(F.col("sig"), at, F.lit(2 * BASE_DEPTH))).alias("key"), "id", "sketch")
-    ordered = rows.repartition("key").sortWithinPartitions("key")
-    met = ordered.mapInArrow(_neighbours(least, BLOCK), "a long, b long, key long, no int, block struct<ids: binary, sketches: binary>").checkpoint()
+    """(a, b), a < b: pairs of representatives that meet in some tree; reps has id, keys, sketch."""
+    least = least_agreement(threshold)
+    rows = reps.select(F.explode("keys").alias("key"), "id", "sketch")
+    ordered = rows.repartitionByRange("key", "id").sortWithinPartitions("key")
+    met = ordered.mapInArrow(_regions(least, BLOCK, HELD_ROWS), _MET_SQL).checkpoint()
     near = met.where("block is null").select("a", "b")
-    # Every block goes to the pair it forms with each block of its region, so a region is spread over as many tasks as it has block pairs.
-    blocks = met.where("block is not null").select("key", "no", "block")
-    counts = blocks.groupBy("key").agg(F.max("no").alias("last"))
-    placed = blocks.join(counts, "key").select("key", "no", "block", F.explode(F.sequence(F.lit(0), "last")).alias("to"))
-    cells = placed.groupBy("key", F.least("no", "to").alias("i"), F.greatest("no", "to").alias("j")).agg(F.array_agg("block").alias("both"))
+    # A block goes to the pair it forms with each block of its region, so a region is spread over as many tasks as it has block pairs.
+    blocks = met.where("block is not null").select("key", "no", "rows", "block")
+    of_key = Window.partitionBy("key")
+    places = blocks.select(
+        "key", "no", (F.row_number().over(of_key.orderBy("no")) - 1).alias("i"), F.count(F.lit(1)).over(of_key).alias("many"), F.sum("rows").over(of_key).alias("total")
+    ).where(F.col("key").between(0, 1 << 62) | (F.col("total") <= SMALL))
+    placed = blocks.select("key", "no", "block").join(places, ["key", "no"]).select("key", "block", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1)).alias("to"))
+    cells = placed.groupBy("key", F.least("i", "to").alias("x"), F.greatest("i", "to").alias("y")).agg(F.array_agg("block").alias("both"))
     cells = cells.select(F.col("both")[0].alias("one"), F.try_element_at("both", F.lit(2)).alias("other"))
     return near.unionByName(cells.mapInArrow(_between(least), "a long, b long")).distinct()
 
 
 def near_copies(
     df: DataFrame, key: str, title: str, text: str, words: int = WORDS, threshold: float = THRESHOLD, min_words: int = MIN_WORDS,
-    drop_lines: Callable[[str, str | None], list[int]] = lambda text, title: [],
+    drop_lines: Dropper = lambda text, title, context: [], context: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(members, links).
 
     members: (id, rep), one row per record of at least min_words words; copies of one
     shingle set share the smallest id as rep.  links: (a, b, similarity) between
     representatives whose shingle sets have a Jaccard similarity of at least threshold.
-    Null titles and texts count as empty; key must be a unique bigint; other columns
-    of df are not read.
+    Null titles and texts count as empty; key must be a unique bigint; `context` names
+    the column that drop_lines gets beside text and title; other columns are not read.
     """
-    base = df.select(F.col(key).cast("long").alias("id"), F.col(title).cast("string").alias("title"), F.col(text).cast("string").alias("text"))
-    signed = base.select("id", _signer(words, min_words, drop_lines)("title", "text").alias("s")).select("id", "s.cls", "s.sig")
+    base = df.select(F.col(key).cast("long").alias("id"), F.col(title).cast("string").alias("title"), F.col(text).cast("string").alias("text"), (F.col(context) if context else F.lit(None).cast("string")).alias("context"))
+    signed = base.select("id", _signer(words, min_words, drop_lines)("title", "text", "context").alias("s")).select("id", "s.cls", "s.keys", "s.sketch")
     signed = signed.where("cls is not null").checkpoint()
-    classes = signed.groupBy("cls").agg(F.min(F.struct("id", "sig")).alias("r")).select("cls", "r.id", "r.sig")
+    classes = signed.groupBy("cls").agg(F.min(F.struct("id", "keys", "sketch")).alias("r")).select("cls", "r.id", "r.keys", "r.sketch")
     members = signed.select("id", "cls").join(classes.select("cls", F.col("id").alias("rep")), "cls").select("id", "rep")
-    pairs = forest_candidates(classes.select("id", "sig"), threshold).checkpoint()
+    pairs = forest_candidates(classes.select("id", "keys", "sketch"), threshold).checkpoint()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = base.join(wanted, "id", "left_semi").select("id", _packer(words, drop_lines)("title", "text").alias("set"))
+    sets = base.join(wanted, "id", "left_semi").select("id", _packer(words, drop_lines)("title", "text", "context").alias("set"))
     one = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     other = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", similarity("set_a", "set_b").alias("similarity"))
@@ -364,7 +379,3 @@ def all_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     linked = links.select("a", "b").join(m("a"), F.col("a") == F.col("rep_a")).join(m("b"), F.col("b") == F.col("rep_b"))
     linked = linked.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
     return copies.unionByName(linked)
-
-
-def page_line_dropper(menu: frozenset[str], headings: frozenset[str]) -> Callable[[str, str | None], list[int]]:
-    return lambda text, title: page_lines(text, title, menu, headings, in_form=True)

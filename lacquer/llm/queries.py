@@ -19,7 +19,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of raw_text and body that are the page's."""
     parts = []
     for tbl, text in (("objective_records", "raw_text"), ("news_articles", "body")):
-        found = mainbody.find_page_lines(_table(spark, sf_dir, tbl), "row_id", text, "title")
+        found = mainbody.find_page_lines(_table(spark, sf_dir, tbl), "row_id", text, "title", "source")
         parts.append(found.select(F.lit(tbl).alias("tbl"), "row_id", "line_no"))
     return parts[0].unionByName(parts[1])
 
@@ -28,11 +28,44 @@ def p1_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_text and body without the page's lines."""
     parts = []
     for tbl, text in (("objective_records", "raw_text"), ("news_articles", "body")):
-        main = mainbody.main_body(_table(spark, sf_dir, tbl), text, "title")
+        main = mainbody.main_body(_table(spark, sf_dir, tbl), "row_id", text, "title", "source")
         parts.append(main.select(F.lit(tbl).alias("tbl"), "row_id", "main_body"))
     return parts[0].unionByName(parts[1])
 
 
+def p1_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_text and body as they are read: rendered, without tags and without the page's lines."""
+    parts = []
+    for tbl, text in (("objective_records", "raw_text"), ("news_articles", "body")):
+        main = mainbody.rendered_body(_table(spark, sf_dir, tbl), "row_id", text, "title", "source")
+        parts.append(main.select(F.lit(tbl).alias("tbl"), "row_id", "main_text"))
+    return parts[0].unionByName(parts[1])
+
+
+def p1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages around every document rendered: what is invisible is gone, blocks, items and aligned cells are there."""
+    s = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    one_line = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        one_line = F.replace(one_line, F.lit(char), F.lit(entity))
+    page = F.concat(
+        F.lit("<html><head><title>x</title><style>p {}</style></head><body><nav><ul><li>Menu</ul></nav><h1>"), s("source"), F.lit('</h1><div style="display: none">Cookie</div><p>'), one_line,
+        F.lit("<ul><li>"), s("lang"), F.lit("<li>"), s("doc_kind"), F.lit("</ul><table><tr><th>Mã<th>Số<tr><td>"), s("company_code"), F.lit("<td>"), s("n_chars"),
+        F.lit("</table><aside>Tin khác</aside><script>x()</script><footer>f</footer></body></html>"),
+    )
+    text = mainbody.rendered_text(page)
+    return _table(spark, sf_dir, "documents").select("doc_id", text.alias("t")).select("doc_id", F.length("t").cast("long").alias("chars"), F.md5("t").alias("text_md5"))
+
+
+P1_PAGES_SQL = """
+WITH d AS (SELECT doc_id, coalesce(source, '-') AS source, coalesce(lang, '-') AS lang, coalesce(doc_kind, '-') AS kind, coalesce(company_code, '-') AS code, coalesce(CAST(n_chars AS VARCHAR), '-') AS n,
+  trim(regexp_replace(coalesce(text, ''), '[\\s\\x1c-\\x1f\\x85\\p{Z}]+', ' ', 'g')) AS line FROM documents),
+t AS (SELECT doc_id, source || chr(10) || chr(10) || CASE WHEN line <> '' THEN line || chr(10) || chr(10) ELSE '' END || '• ' || lang || chr(10) || '• ' || kind || chr(10) || chr(10)
+  || rpad('Mã', greatest(2, length(code))::INT, ' ') || ' | Số' || chr(10) || rpad(code, greatest(2, length(code))::INT, ' ') || ' | ' || n AS t FROM d)
+SELECT doc_id, length(t) AS chars, md5(t) AS text_md5 FROM t
+"""
+
+
 P2_FIELDS = ["title", "company_code", "company_name", "publish_time", "category", "attachment_urls"]
 
 
@@ -136,9 +169,8 @@ WHERE c.c >= 4 AND c.c >= 0.05 * n.total
 
 
 def _near_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    df = _table(spark, sf_dir, "objective_records")
-    dropper = nearcopies.page_line_dropper(*mainbody.collect_vocabulary(mainbody.page_vocabulary(df, "raw_text")))
-    return nearcopies.near_copies(df, "row_id", "title", "raw_text", words=3, threshold=0.6, min_words=80, drop_lines=dropper)
+    df, dropper = mainbody.line_dropper(_table(spark, sf_dir, "objective_records"), "row_id", "raw_text", "source", "context")
+    return nearcopies.near_copies(df, "row_id", "title", "raw_text", words=3, threshold=0.6, min_words=80, drop_lines=dropper, context="context")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,6 +245,8 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_main": p1_main,
+    "p1_text": p1_text,
+    "p1_pages": p1_pages,
     "p2_found": p2_found,
     "p2_merged": p2_merged,
     "p2_untimed": p2_untimed,
@@ -234,6 +268,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "p1_pages": P1_PAGES_SQL,
     "p2_untimed": P2_SQL,
     "p4_found": P4_SQL,
 }

@@ -57,31 +57,100 @@ Công ty khác mở rộng nhà máy
 © 2024 Báo Lam. Giấy phép số 5/GP"""
 
 
+def known(fragments=(), sentences=(), headings=()):
+    """What would be known of a source."""
+    kinds = {(0, repeated.number(f)): mainbody.FRAGMENT for f in fragments} | {(0, repeated.number(f)): mainbody.SENTENCE for f in sentences}
+    return kinds | {(1, repeated.number(h)): mainbody.HEADING for h in headings}
+
+
 def test_page_lines():
-    menu, heads = frozenset({"trang chủ", "thị trường", "doanh nghiệp"}), frozenset({"kết luận"})
-    assert mainbody.page_lines(PAGE, "x", menu, heads) == [1, 2, 3, 4, 9, 11, 12, 13, 14]
-    assert mainbody.page_lines("Thông báo về cổ tức theo công văn số 5", None, menu, heads) == []
+    kinds = known(["quảng cáo"], ["cập nhật lúc 0:0 - 0/0/0"], ["kết luận"])
+    assert mainbody.page_lines(PAGE, "x", kinds) == [1, 2, 3, 4, 9, 11, 12, 13, 14]
+    assert mainbody.page_lines("Thông báo về cổ tức theo công văn số 5", None, kinds) == []
     for empty in (None, "", " \n\t"):
-        assert mainbody.page_lines(empty, None, menu, heads) == []
-    assert mainbody.page_lines("Một câu dài. " * 30_000, "t", menu, heads) == []
+        assert mainbody.page_lines(empty, None, kinds) == []
+    assert mainbody.page_lines("Một câu dài. " * 30_000, "t", kinds) == []
+    table = "Câu đầu của bài viết dài hơn.\nChỉ tiêu | Năm nay | Năm trước\nDoanh thu | 12 | 14\nCâu cuối của bài viết."
+    assert mainbody.page_lines(table, "t") == []  # a bar above a table row is its header
 
 
 def test_render_keeps_lines_and_hides_what_is_invisible():
     html = "<div><p>Một</p><nav>menu\nmục</nav>\n<ul><li>a<li>b &amp; c</ul>\n<table><tr><td>x</td><td>1</td></tr></table><p>hết"
     got = mainbody.render(html)
     assert [n for n, _, _ in got] == [1, 2, 3, 4]
-    assert got[0][2] and got[1][2] and got[2][1].split() == ["•", "a•", "b", "&", "c"] and "x | 1" in got[3][1]
+    assert got[0][2] and got[1][2] and got[2][1].split() == ["•", "a", "•", "b", "&", "c"] and "x | 1" in got[3][1]
     assert mainbody.render("a < b & c") == [(1, "a < b & c", False)]
 
 
-def test_vocabulary_and_main_body(spark):
-    rows = [(i, "t", PAGE) for i in range(6)] + [(6, None, None), (7, "t", "")]
-    df = spark.createDataFrame(rows, "row_id long, title string, text string").withColumn("kind", F.lit("x")).withColumn("item", F.lit(1))
-    words = {(r["kind"], r["item"]) for r in mainbody.page_vocabulary(df, "text").collect()}
-    assert ("menu", "thị trường") in words and ("heading", "kết luận") in words
-    bodies = {r["row_id"]: r["main_body"] for r in mainbody.main_body(df, "text", "title").collect()}
-    assert bodies[0].startswith("Công ty báo cáo") and "Quảng cáo" not in bodies[0] and bodies[6] is None and bodies[7] == ""
-    assert mainbody.find_page_lines(df.limit(0), "row_id", "text", "title").count() == 0
+@pytest.mark.parametrize("page, text", [
+    ("<head><title>t</title></head><nav>m<ul><li>x</ul></nav><h1>A &amp; B</h1><p hidden>no</p><p>one<p>two<br>three", "A & B\n\none\n\ntwo\nthree"),
+    ("<ul><li>a<li>b<ol><li>deep</ol></ul><p>end", "• a\n• b\n  • deep\n\nend"),
+    ("<table><tr><th>long head<th>n<tr><td>x<td>1<tr><td>y<td>22</table>", "long head | n\nx         | 1\ny         | 22"),
+    ("a | b\nccc | d\n\n\n1 | 2 | 3\nplain", "a   | b\nccc | d\n\n1 | 2 | 3\nplain"),
+    ("<div aria-hidden=true>x</div>\n<p style='visibility:hidden'>y</p>z <i>w</i><!-- c -->", "z w"), ("a < b & c", "a < b & c"), ("", ""), (None, None), ("<p>", ""), ("</p></div>x", "x"),
+])
+def test_pages_are_rendered_as_they_look(page, text):
+    assert mainbody.rendered(page) == text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<ul>", "<li>", "</ul>", "<table>", "<tr>", "<td>", "</table>", "<div hidden>", "</div>", "a", " b | c", "\n", "\n\n", "&lt;", "<", "<!--", "-->"]), max_size=25))
+def test_rendering_never_fails_and_keeps_line_numbers(parts):
+    page = "".join(parts)
+    assert [n for n, _, _ in mainbody.render(page)] == list(range(1, page.count("\n") + 2))
+    out = mainbody.rendered(page)
+    assert out is not None and "\n\n\n" not in out
+
+
+def second_site():
+    """Rows of a site in another language: pages with furniture in its own words, and the numbers of the furniture's lines."""
+    rng = random.Random(12)
+    nouns = "Werk Umsatz Gewinn Auftrag Anteil Kredit Markt Preis Fracht Hafen Strom Stahl Anlage Bilanz Fonds".split()
+    verbs = "steigt sinkt bleibt wächst fällt erholt stockt dreht".split()
+    sentence = lambda: f"Der {rng.choice(nouns)} {rng.choice(verbs)} um {rng.randrange(1, 99)} Prozent, weil der {rng.choice(nouns)} im {rng.choice(nouns)} {rng.choice(verbs)}."
+    teaser = lambda: f"» {rng.choice(nouns)} {rng.choice(verbs)} trotz {rng.choice(nouns)} und {rng.choice(nouns)} im Monat {rng.randrange(1, 12)}"
+    rows, want = [], {}
+    for k in range(200):
+        lines = [("Startseite · Märkte · Meinung · Daten", True), (f"Stand: {rng.randrange(24)}:{rng.randrange(60)} Uhr", True), (sentence() + " " + sentence(), False)]
+        for _ in range(rng.randrange(2, 5)):
+            lines += [(rng.choice(["Ausblick", "Ausblick: WXYZ", "Zahlen im Überblick - ABCD", "Zahlen im Überblick"]), False)] if rng.random() < 0.5 else []
+            lines += [("Anzeige", True)] if rng.random() < 0.4 else []
+            lines += [(sentence() + " " + sentence(), False)]
+            lines += [("Kennzahl | Heuer | Vorjahr", False), (f"Umsatz | {rng.randrange(99)} | {rng.randrange(99)}", False)] if rng.random() < 0.2 else []
+        lines += [("", False), ("Lesen Sie auch", True), (teaser(), True), (teaser(), True), ("Alle Angaben ohne Gewähr, keine Anlageberatung.", True), (f"Nr. {k} | Impressum | Datenschutz", True)]
+        rows.append((k, "zweite", f"Titel {k}", "\n".join(x for x, _ in lines)))
+        want[k] = {n for n, (_, page) in enumerate(lines, 1) if page}
+    return rows, want
+
+
+def test_a_second_site_in_other_words(spark):
+    rows, want = second_site()
+    rows += [(1000 + k, f"klein{k}", "t", "Nur ein Satz.") for k in range(500)]  # other sources change nothing
+    df = spark.createDataFrame(rows, "row_id long, source string, title string, body string").repartition(5)
+    got = {k: set() for k in want}
+    for r in mainbody.find_page_lines(df, "row_id", "body", "title", "source").collect():
+        got[r["row_id"]].add(r["line_no"])
+    both = sum(len(got[k] & want[k]) for k in want)
+    assert both >= 0.95 * sum(map(len, want.values())) and both >= 0.95 * sum(len(got[k]) for k in got)
+    text = {r["row_id"]: r["main_text"] for r in mainbody.rendered_body(df, "row_id", "body", "title", "source").collect()}
+    assert "Impressum" not in text[0] and text[0].startswith("Der ") and text[1000] == "Nur ein Satz."
+
+
+def test_known_lines_by_join(spark, monkeypatch):
+    """More known lines than are sent to tasks: the same lines by a join."""
+    rows, _ = second_site()
+    rows += [(900, None, "t", rows[0][3]), (901, "zweite", None, None), (902, "zweite", "t", "")]
+    df = spark.createDataFrame(rows, "row_id long, source string, title string, body string").withColumn("item", F.lit(1)).withColumn("s", F.lit("x"))
+    lines = lambda: sorted(tuple(r) for r in mainbody.find_page_lines(df, "row_id", "body", "title", "source").collect())
+    sent = lines()
+    bodies = {r["row_id"]: r["main_body"] for r in mainbody.main_body(df, "row_id", "body", "title", "source").collect()}
+    assert bodies[901] is None and bodies[902] == "" and "Anzeige" not in bodies[0]
+    monkeypatch.setattr(mainbody, "SENT", 1)
+    assert lines() == sent and len(sent) > 1000
+    again, dropper = mainbody.line_dropper(df, "row_id", "body", "source", "context")
+    row = again.where("row_id = 0").first()
+    assert dropper(row["body"], row["title"], row["context"]) == [n for k, n in sent if k == 0]
+    assert mainbody.find_page_lines(df.limit(0), "row_id", "body", "title", "source").count() == 0
 
 
 # wrong encodings
