@@ -64,8 +64,8 @@ def long_rows(df: DataFrame, group: Column, row: str, weight: Column, order: Col
     return wide.select("g", "r", "weight", "o", F.inline("fs"))
 
 
-def voted_values(long: DataFrame, min_rows: int = 2, strict: bool = False) -> DataFrame:
-    """(g, field_name, value, r): the value with the most votes and the row that supplies it.
+def voted_values(long: DataFrame, min_rows: int = 2, strict: bool = False, written: bool = True) -> DataFrame:
+    """(g, field_name, r and, if `written`, value): the value with the most votes and the row that supplies it.
 
     Values agree if they agree trimmed and in lower case; they meet by two hashes of that
     form.  The row, and with it the written form, is the best-ranked one (`more`, then
@@ -78,12 +78,13 @@ def voted_values(long: DataFrame, min_rows: int = 2, strict: bool = False) -> Da
     # strict: a vote outweighs all below it together, so a sum of votes compares as its largest
     votes = F.max(rank) if strict else F.sum(F.round(F.col("weight") * VOTE_UNIT).cast("long"))
     hashes = [F.when(F.col("usable"), F.xxhash64(*salt, form)).alias(n) for n, salt in (("h1", []), ("h2", [F.lit(1)]))]
+    supplier = F.struct("r", "value") if written else F.struct("r")
     by_value = long.groupBy("g", "field_name", *hashes).agg(
-        F.count(F.lit(1)).alias("n"), votes.alias("votes"), F.max_by(F.struct("r", "value"), rank).alias("kept"), F.max(rank).alias("rank")
+        F.count(F.lit(1)).alias("n"), votes.alias("votes"), F.max_by(supplier, rank).alias("kept"), F.max(rank).alias("rank")
     )
     won = F.when(F.col("h1").isNotNull(), F.struct("votes", "rank"))
     winner = by_value.groupBy("g", "field_name").agg(F.sum("n").alias("n"), F.max_by("kept", won).alias("kept"), F.max(won).alias("top"))
-    return winner.where((F.col("n") >= min_rows) & F.col("top").isNotNull()).select("g", "field_name", "kept.value", "kept.r")
+    return winner.where((F.col("n") >= min_rows) & F.col("top").isNotNull()).select("g", "field_name", "kept.*")
 
 
 def voted_records(long: DataFrame, fields: list[str], min_rows: int = 2, strict: bool = False) -> DataFrame:
@@ -98,7 +99,7 @@ def supplying_rows(long: DataFrame, fields: list[str], min_rows: int = 2) -> Dat
     The record is built first, one row per group with the supplier of each field, and
     read off field by field.
     """
-    votes = voted_values(long, min_rows, strict=True)
+    votes = voted_values(long, min_rows, strict=True, written=False)
     records = votes.groupBy("g").agg(*[F.max(F.when(F.col("field_name") == n, F.col("r"))).alias(f"r{i}") for i, n in enumerate(fields)])
     named = F.array(*[F.struct(F.lit(n).alias("field_name"), F.col(f"r{i}").alias("r")) for i, n in enumerate(fields)])
     return records.select("g", F.inline(named)).where("r is not null")
