@@ -34,6 +34,8 @@ SWITCH, UNSEEN, SPREAD = 3.5, -15.0, 1e-6
 #: Log-probability of an untabulated double-byte character in the double-byte states.
 RARE_DOUBLE_BYTE = -12.0
 REPLACEMENT = "�"
+#: Characters of values labelled together, which bounds the memory of the paths.
+TOGETHER = 1 << 20
 
 
 def _read(data: bytes, encoding: str) -> str:
@@ -159,9 +161,14 @@ class Labeller:
         out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(values)
         order = sorted(range(len(values)), key=lambda i: len(values[i]))
         unknown, index = len(self.index), self.index
-        for at in range(0, len(order), 256):
-            ids = order[at : at + 256]
-            longest = max(len(values[i]) for i in ids)
+        at = 0
+        while at < len(order):
+            many = 256
+            while many > 1 and many * len(values[order[min(at + many, len(order)) - 1]]) > TOGETHER:
+                many //= 2
+            ids = order[at : at + many]
+            at += many
+            longest = len(values[ids[-1]])
             if not longest:
                 continue
             codes = np.full((len(ids), longest), -2, np.int32)
