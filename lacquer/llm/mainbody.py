@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import repeated
-from .textform import consistent
+from .textform import consistent, consistent_all
 
 # Tag classes of the HTML standard used by the renderer.
 HIDDEN = frozenset("head script style template noscript nav footer aside form button select svg iframe".split())
@@ -248,12 +248,24 @@ def _line_items(s: str, text: str) -> set[tuple[int, str]]:
         return set()
     items = {(0, f) for f in forms}
     for line in text.split("\n"):
-        if len(line) < 90 and (core := _core(line.strip())):
+        line = line.rstrip()
+        if len(line) < 90 and line[-2:].isalnum() and line[-2:].upper() == line[-2:] and (core := _core(line.strip())):
             items.add((1, core))
     items.add((2, ""))
     return items
 
 
+def _outline(form: str) -> int:
+    """16 bits of a line that show without its form: number of words, first and last character."""
+    a, b = ord(form[0]), ord(form[-1])
+    return (form.count(" ") & 63) << 10 | ((48 if 48 <= a <= 57 else a) * 31 + (48 if 48 <= b <= 57 else b)) & 1023
+
+
+def _number(form: str) -> int:
+    """Hash of a form that ends in its outline."""
+    return repeated.number(form) & ~0xFFFF | _outline(form)
+
+
 def known_lines(df: DataFrame, text: str, source: str) -> DataFrame:
     """(s, heading, item, kind): forms that are the page's and cores of headings, by source, over all its rows.
 
@@ -261,7 +273,7 @@ def known_lines(df: DataFrame, text: str, source: str) -> DataFrame:
     rows of several lines, so neither other sources nor the table's size matter.
     """
     schema = pa.schema([("s", pa.string()), ("heading", pa.int32()), ("item", pa.int64()), ("n", pa.int64())])
-    counted = repeated.counted_items(df, source, text, schema, ["heading", "item"], _line_items, lambda x: (int(x[0]), repeated.number(x[1])))
+    counted = repeated.counted_items(df, source, text, schema, ["heading", "item"], _line_items, lambda x: (x[0], _number(x[1]) if x[1] else 0))
     counted = counted.where(F.col("n") >= min(FRAGMENT_ROWS, HEADING_ROWS)).checkpoint()  # read twice
     rows = counted.where("heading = 2").select("s", F.col("n").alias("rows"))
     share = F.col("n") / F.col("rows")
@@ -270,19 +282,39 @@ def known_lines(df: DataFrame, text: str, source: str) -> DataFrame:
     return counted.join(rows, "s").select("s", "heading", "item", kind.alias("kind")).where("kind is not null")
 
 
+class Kinds:
+    """What is known of one source's lines: {(heading, number): kind}, and the outlines of its forms."""
+
+    __slots__ = ("kinds", "outlines")
+
+    def __init__(self, items=()):
+        self.kinds = {(heading, item): kind for heading, item, kind in items}
+        self.outlines = frozenset(item & 0xFFFF for heading, item in self.kinds if not heading)
+
+    def of_line(self, low: str) -> int | None:
+        """Kind of a line in lower case and single spaces; most lines are told by their outline."""
+        if _outline(low) not in self.outlines:
+            return None
+        return self.kinds.get((0, _number(repeated.DIGITS.sub("0", low))))
+
+    def is_heading(self, core: str) -> bool:
+        return bool(core) and (1, _number(core)) in self.kinds
+
+
 class Known:
-    """Kinds of items by source, as sent to tasks: {source: {(heading, hash): kind}}."""
+    """Kinds by source, as sent to tasks."""
 
     def __init__(self, rows: list):
-        self.kinds: dict[str, dict] = {}
-        for s, heading, item, kind in rows:
-            self.kinds.setdefault(s, {})[heading, item] = kind
+        by_source: dict[str, list] = {}
+        for s, *item in rows:
+            by_source.setdefault(s, []).append(item)
+        self.kinds, self.nothing = {s: Kinds(items) for s, items in by_source.items()}, Kinds()
 
-    def of(self, s: str | None) -> dict:
-        return self.kinds.get("\x00null" if s is None else s, {})
+    def of(self, s: str | None) -> Kinds:
+        return self.kinds.get("\x00null" if s is None else s, self.nothing)
 
 
-def page_lines(text: str | None, title: str | None, kinds: dict | None = None, in_form: bool = False) -> list[int]:
+def page_lines(text: str | None, title: str | None, kinds: Kinds | None = None, in_form: bool = False) -> list[int]:
     """Numbers of the non-blank lines that are the page's, not the article's.
 
     kinds: what is known of the source's lines.  Null, empty or blank text: none.  A
@@ -292,13 +324,14 @@ def page_lines(text: str | None, title: str | None, kinds: dict | None = None, i
     if not text:
         return []
     if not in_form:
-        text = consistent(text)
+        text, title = consistent_all([text, title or ""])
     seen = render(text) if "<" in text else [(n, s, False) for n, s in enumerate(text.split("\n"), 1)]
     rows = [(n, s, _plain(s), h) for n, s, h in seen if s and not s.isspace()]
     if not rows:
         return []
-    want = " ".join(consistent(title or "").lower().split()).rstrip(".")
-    judged = [_kind(plain, raw, hid, want, kinds or {}) for _, raw, plain, hid in rows]
+    want = " ".join((title or "").lower().split()).rstrip(".")
+    kinds = kinds or Kinds()
+    judged = [_kind(plain, raw, hid, want, kinds) for _, raw, plain, hid in rows]
     for k in range(len(rows) - 1):  # a bar above a table row of as many cells is its header
         if judged[k] == "bar":
             cells = rows[k][2].count(" | ")
@@ -327,7 +360,7 @@ def _plain(line: str) -> str:
     return line.strip()
 
 
-def _kind(line: str, raw: str, hidden: bool, title: str, kinds: dict) -> str:
+def _kind(line: str, raw: str, hidden: bool, title: str, kinds: Kinds) -> str:
     """page, own, bar (of short items), short (could be a heading), edge (short and known) or open (unfinished, as teasers are)."""
     if hidden:
         return "page"
@@ -339,20 +372,19 @@ def _kind(line: str, raw: str, hidden: bool, title: str, kinds: dict) -> str:
     bar = line.find("|")
     if bar > 0 and _NUMBER.search(line, bar) and not _LETTER.search(line, bar):
         return "own"  # a label and cells of numbers
-    number = _NUMBER.search(low)
-    known = kinds.get((0, repeated.number(repeated.DIGITS.sub("0", low) if number else low))) if kinds else None
+    known = kinds.of_line(low)
     if known == SENTENCE and line[-1] in _STOPS:
         return "page"
     ended = line.rstrip("\"”’')]")[-1:] in _STOPS
     if ended and known != SENTENCE:
         return "own"
-    if kinds and kinds.get((1, repeated.number(_core(line) or low.rstrip("?:")))):
+    if kinds.is_heading(_core(line) or low.rstrip("?:")):
         return "own"
     if known == SENTENCE or known == FRAGMENT:
         return "bar" if " | " in line else "page"
     words = line.count(" ") + 1
     parts = [p for p in _SEPARATOR.split(raw.strip()) if p]
-    if len(parts) >= MIN_BAR_ITEMS and not number and all(p.count(" ") < MAX_ITEM_WORDS for p in parts):
+    if len(parts) >= MIN_BAR_ITEMS and not _NUMBER.search(line) and all(p.count(" ") < MAX_ITEM_WORDS for p in parts):
         return "bar"
     if len(parts) == 2 and "|" in line and words <= MAX_ITEM_WORDS * 2:
         return "bar"
@@ -370,7 +402,8 @@ def line_judge(known: Known):
     @F.pandas_udf(_SCHEMA_LINES)
     def judge(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for text, title, source in batches:
-            yield pd.Series([page_lines(t, h, known.of(s)) for t, h, s in zip(text, title, source)], dtype=object)
+            text, title = (consistent_all([x or "" for x in s]) for s in (text, title))
+            yield pd.Series([page_lines(t, h, known.of(s), in_form=True) for t, h, s in zip(text, title, source)], dtype=object)
 
     return judge
 
@@ -381,10 +414,17 @@ def known_of(known: DataFrame) -> Known | None:
     return Known([tuple(r) for r in rows]) if len(rows) <= SENT else None
 
 
+def _looked_up(text: str) -> set[tuple[int, int]]:
+    """All items that the judge may look up for a text's lines."""
+    lines = {_plain(s).lower(): _core(_plain(s)) for _, s, _ in (render(text) if "<" in text else [(0, s, False) for s in text.split("\n")]) if s.strip()}
+    out = {(0, _number(repeated.DIGITS.sub("0", low))) for low in lines}
+    return out | {(1, _number(core)) for low, of in lines.items() if (core := of or low.rstrip("?:"))}
+
+
 def _marked(df: DataFrame, key: str, text: str, source: str, known: DataFrame) -> DataFrame:
     """(__k, __kinds): the known items of each row's own lines by a join, salted within sources."""
     of = T.ArrayType(T.StructType([T.StructField("heading", T.IntegerType()), T.StructField("item", T.LongType())]))
-    items = F.pandas_udf(lambda t: t.map(lambda x: [(int(h), repeated.number(f)) for h, f in sorted(_line_items("", consistent(x)))] if x else []), of)
+    items = F.pandas_udf(lambda t: t.map(lambda x: sorted(_looked_up(consistent(x))) if x else []), of)
     rows = df.select(F.col(key).alias("__k"), repeated.source_of(source).alias("s"), F.explode(items(F.col(text).cast("string"))).alias("i")).select("__k", "s", "i.*")
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("__k"), F.lit(repeated.SALTS)))
     spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(repeated.SALTS - 1).cast("long"))))
@@ -421,8 +461,8 @@ def line_dropper(df: DataFrame, key: str, text: str, source: str, context: str =
     return marked, lambda t, h, kinds: page_lines(t, h, _kinds_of(kinds), in_form=True)
 
 
-def _kinds_of(rows) -> dict:
-    return {} if rows is None else {(x["heading"], x["item"]): x["kind"] for x in rows}
+def _kinds_of(rows) -> Kinds:
+    return Kinds(() if rows is None else ((x["heading"], x["item"], x["kind"]) for x in rows))
 
 
 def find_page_lines(df: DataFrame, key: str, text: str, title: str, source: str) -> DataFrame:

@@ -7,8 +7,8 @@ agree depends on the region: two values where few rows share them, three elsewhe
 All rows of a region are compared, however many; a region that is large, or that a
 partition's border may cut, is given out in blocks, and its pairs of blocks are spread
 over tasks.  So neither recall nor the longest task depends on a region's size.
-Neighbours whose short sketches agree enough become candidates and are checked on
-their shingle sets.
+Neighbours whose short sketches agree enough become candidates; they are looked at once
+more by all their min-hash values and then checked on their shingle sets.
 
 Going deeper than three values in large regions would not do: a pair of Jaccard 0.6
 shares five values of a tree with probability 0.08, so some 90 trees would be needed
@@ -32,13 +32,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textform import consistent
+from .textform import consistent_all
 
 #: Trees of the forest, min-hash values of 16 bits that a tree's key has, bytes of the sketch.
 TREES, DEPTH, SKETCH = 20, 3, 40
 #: Rows up to which two shared values make a region, rows compared at a time, rows of a
 #: region that one task compares, and sorted rows held at a time.
 SMALL, PART, BLOCK, HELD_ROWS = 16, 256, 2048, 1 << 18
+#: Bits of the bitmap that keeps texts without candidates out of the last shuffle: 4 MB.
+FILTER_BITS = 25
 #: Title, text and the drop_lines context of a record -> numbers of lines left out.
 Dropper = Callable[[str, "str | None", object], list[int]]
 WORDS, THRESHOLD, MIN_WORDS = 5, 0.8, 1
@@ -48,22 +50,18 @@ _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 _SEEDS = np.random.RandomState(7).randint(1, 2**32 - 1, size=TREES * DEPTH + SKETCH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
-def own_text(title: str | None, text: str | None, drop_lines: Dropper, context: object = None) -> str:
-    """Title and text in consistent form and lower case, without the page's lines, then without tags.
-
-    drop_lines gets the text in consistent form.
-    """
-    text = consistent(text or "")
+def own_text(title: str, text: str, drop_lines: Dropper, context: object = None) -> str:
+    """Title and text, both in consistent form, in lower case, without the page's lines, then without tags."""
     dropped = set(drop_lines(text, title, context))
     body = "\n".join(x for n, x in enumerate(text.split("\n"), 1) if n not in dropped) if dropped else text
     if "<" in body:
         body = _TAG.sub(" ", body)
-    return f"{consistent(title or '')}\n{body}".lower()
+    return f"{title}\n{body}".lower()
 
 
 def words_of(title: str | None, text: str | None, drop_lines: Dropper, context: object = None) -> list[str]:
     """The words of a record: runs of letters and digits."""
-    return _WORD.findall(own_text(title, text, drop_lines, context).replace("_", " "))
+    return _WORD.findall(own_text(*consistent_all([title or "", text or ""]), drop_lines, context).replace("_", " "))
 
 
 _LETTER = np.array([chr(c).isalnum() for c in range(0x30000)])
@@ -161,7 +159,8 @@ HELD = 400
 def _slices(columns: tuple[pd.Series, ...], drop_lines: Dropper, words: int, min_words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Shingle sets of a batch of titles, texts and contexts, some hundred records at a time."""
     for at in range(0, len(columns[0]), HELD):
-        texts = [own_text(h, x, drop_lines, c) for h, x, c in zip(*(s[at : at + HELD] for s in columns))]
+        title, text = (consistent_all([x or "" for x in s[at : at + HELD]]) for s in columns[:2])
+        texts = [own_text(h, x, drop_lines, c) for h, x, c in zip(title, text, columns[2][at : at + HELD])]
         yield shingle_sets(*word_numbers(texts), words, min_words)
 
 
@@ -210,9 +209,19 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([_jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def least_agreement(threshold: float) -> int:
-    """Bytes of the sketch that a pair at the threshold shares but for one in two thousand."""
-    return max(1, int(SKETCH * threshold - 3.3 * (SKETCH * threshold * (1 - threshold)) ** 0.5))
+def least_agreement(threshold: float, values: int = SKETCH) -> int:
+    """How many of so many min-hash values a pair at the threshold shares but for one in two thousand."""
+    return max(1, int(values * threshold - 3.3 * (values * threshold * (1 - threshold)) ** 0.5))
+
+
+@F.pandas_udf(T.IntegerType())
+def shared_values(keys_a: pd.Series, sketch_a: pd.Series, keys_b: pd.Series, sketch_b: pd.Series) -> pd.Series:
+    """Equal min-hash values of two signatures, of the trees and of the sketch."""
+    if not len(keys_a):
+        return pd.Series([], dtype="int32")
+    x, y = (np.stack(k.to_numpy()).astype(np.int64).view(np.uint16).reshape(len(k), TREES, 4)[:, :, :DEPTH] for k in (keys_a, keys_b))
+    u, v = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), SKETCH) for s in (sketch_a, sketch_b))
+    return pd.Series((x == y).sum((1, 2)) + (u == v).sum(1)).astype("int32")
 
 
 def _alike(ids: np.ndarray, sketches: np.ndarray, others: np.ndarray | None, more: np.ndarray | None, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -346,6 +355,21 @@ def forest_candidates(reps: DataFrame, threshold: float) -> DataFrame:
     return near.unionByName(cells.mapInArrow(_between(least), "a long, b long")).distinct()
 
 
+def _mostly_in(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of df whose id is wanted, and some others, before their texts are shuffled.
+
+    The ids' hashes are marked in a bitmap of 2^FILTER_BITS bits, which is what is
+    broadcast whatever the number of ids: the more there are, the fewer rows are left
+    out, and no wanted one ever is.
+    """
+    bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
+    part, position = F.bitmap_bucket_number(bit), F.bitmap_bit_position(bit)
+    bitmaps = wanted.select(part.alias("part"), position.alias("at")).groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright("__at", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    marked = df.withColumns({"__part": part, "__at": position}).join(F.broadcast(bitmaps), F.col("__part") == F.col("part"))
+    return marked.where(F.getbit(byte, (F.col("__at") % 8).cast("int")) == 1).select(*df.columns)
+
+
 def near_copies(
     df: DataFrame, key: str, title: str, text: str, words: int = WORDS, threshold: float = THRESHOLD, min_words: int = MIN_WORDS,
     drop_lines: Dropper = lambda text, title, context: [], context: str | None = None,
@@ -359,13 +383,19 @@ def near_copies(
     the column that drop_lines gets beside text and title; other columns are not read.
     """
     base = df.select(F.col(key).cast("long").alias("id"), F.col(title).cast("string").alias("title"), F.col(text).cast("string").alias("text"), (F.col(context) if context else F.lit(None).cast("string")).alias("context"))
-    signed = base.select("id", _signer(words, min_words, drop_lines)("title", "text", "context").alias("s")).select("id", "s.cls", "s.keys", "s.sketch")
+    # fewer characters than that cannot hold so many words
+    long_enough = F.coalesce(F.length("title"), F.lit(0)) + F.coalesce(F.length("text"), F.lit(0)) >= 2 * min_words - 2
+    signed = base.where(long_enough).select("id", _signer(words, min_words, drop_lines)("title", "text", "context").alias("s")).select("id", "s.cls", "s.keys", "s.sketch")
     signed = signed.where("cls is not null").checkpoint()
     classes = signed.groupBy("cls").agg(F.min(F.struct("id", "keys", "sketch")).alias("r")).select("cls", "r.id", "r.keys", "r.sketch")
     members = signed.select("id", "cls").join(classes.select("cls", F.col("id").alias("rep")), "cls").select("id", "rep")
-    pairs = forest_candidates(classes.select("id", "keys", "sketch"), threshold).checkpoint()
+    met = forest_candidates(classes.select("id", "keys", "sketch"), threshold)
+    for side in ("a", "b"):
+        met = met.join(classes.select(F.col("id").alias(side), F.col("keys").alias(f"keys_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
+    alike = shared_values("keys_a", "sketch_a", "keys_b", "sketch_b") >= least_agreement(threshold, TREES * DEPTH + SKETCH)
+    pairs = met.where(alike).select("a", "b").checkpoint()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = base.join(wanted, "id", "left_semi").select("id", _packer(words, drop_lines)("title", "text", "context").alias("set"))
+    sets = _mostly_in(base, wanted).join(wanted, "id", "left_semi").select("id", _packer(words, drop_lines)("title", "text", "context").alias("set"))
     one = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
     other = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", similarity("set_a", "set_b").alias("similarity"))

@@ -19,7 +19,8 @@ VI = "Ngân hàng Thương mại Cổ phần báo cáo lợi nhuận sau thuế
 @pytest.mark.parametrize("value, want", [
     ("Νgân hàng TMСΡ Đạі Νgàn Lаm", "Ngân hàng TMCP Đại Ngàn Lam"), (unicodedata.normalize("NFD", VI), VI), ("Ｃôｎｇ ｔｙ　ＣP", "Công ty CP"),
     ("C­ông t‍y CP⁠", "Công ty CP"), ("CV‑LKT", "CV-LKT"), ("Ɖông Ðức", "Đông Đức"), ("Quуết định", "Quyết định"),
-    ("Зелторг góp vốn", "Зелторг góp vốn"), ("Hệ số β, Δ và Σ", "Hệ số β, Δ và Σ"), ("“a” – ‘b’… \t\n  c", "“a” – ‘b’… \t\n  c"), ("СР", "CP"), ("a ½ b™", "a ½ b™"), ("", ""), (None, None),
+    ("𝐍gân", "Ngân"), ("Ⅼam", "Lam"), ("Ꭰông", "Dông"), ("ɴgân", "ngân"), ("Nㅤgân", "Ngân"), ("ꓐa", "Ba"), ("Quý Ⅳ, 25 ℃, № 5", "Quý Ⅳ, 25 ℃, № 5"), ("Μаи", "Маи"), ("ΤΡ. ΗСΜ", "TP. HCM"),
+    ("Ёлка", "Ёлка"), ("中文 ABC", "中文 ABC"), ("שלום", "שלום"), ("Зелторг góp vốn", "Зелторг góp vốn"), ("Hệ số β, Δ và Σ", "Hệ số β, Δ và Σ"), ("“a” – ‘b’… \t\n  c", "“a” – ‘b’… \t\n  c"), ("СР", "CP"), ("a ½ b™", "a ½ b™"), ("", ""), (None, None),
 ])
 def test_consistent(value, want):
     assert textform.consistent(value) == want
@@ -32,6 +33,12 @@ def test_consistent_twice_is_once(value):
     assert textform.consistent(once) == once and once.count("\n") == value.count("\n")
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(max_size=12), max_size=8))
+def test_consistent_in_batches(values):
+    assert textform.consistent_all(values) == [textform.consistent(v) for v in values]
+
+
 def test_find_inconsistent_with_clashing_columns(spark):
     df = spark.createDataFrame([(1, "Lаm", "x", 5), (2, None, "", 5), (3, "Lam", "a​b", 5)], "row_id long, title string, v string, p int")
     got = {tuple(r) for r in textform.find_inconsistent(df, "row_id", ["title", "v"]).collect()}
@@ -59,8 +66,8 @@ Công ty khác mở rộng nhà máy
 
 def known(fragments=(), sentences=(), headings=()):
     """What would be known of a source."""
-    kinds = {(0, repeated.number(f)): mainbody.FRAGMENT for f in fragments} | {(0, repeated.number(f)): mainbody.SENTENCE for f in sentences}
-    return kinds | {(1, repeated.number(h)): mainbody.HEADING for h in headings}
+    items = [(0, f, mainbody.FRAGMENT) for f in fragments] + [(0, f, mainbody.SENTENCE) for f in sentences] + [(1, h, mainbody.HEADING) for h in headings]
+    return mainbody.Kinds((h, mainbody._number(f), kind) for h, f, kind in items)
 
 
 def test_page_lines():
@@ -273,6 +280,19 @@ def test_ends_of_empty_and_odd_texts(spark):
     assert shares == {"s": 4, None: 1}
 
 
+def test_limits_by_join(spark, monkeypatch):
+    """More limits than are sent to tasks: the same scores by joins."""
+    rng = random.Random(3)
+    text = lambda n: " ".join(rng.choice(["giá", "cổ", "phiếu", "tăng", "mạnh"]) for _ in range(n)) + "."
+    rows = [(k, (text(60) + text(60))[:200] if k % 3 == 0 else text(30), rng.choice(["s", "t", None])) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("at", F.lit(1)).withColumn("kind", F.lit(1))
+    scores = lambda: {r["doc_id"]: r["score"] for r in cutoff.score_ends(df, "doc_id", "text", "source").collect()}
+    sent = scores()
+    monkeypatch.setattr(cutoff, "SENT", 0)
+    again = scores()
+    assert len(sent) == 300 and again.keys() == sent.keys() and all(abs(again[k] - sent[k]) < 1e-6 for k in sent)
+
+
 def test_ends_far_back_are_seen(spark):
     """White space after a text, and a tag that opened long before its end, count as they would close by."""
     rng = random.Random(8)
