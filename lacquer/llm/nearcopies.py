@@ -364,9 +364,9 @@ def _mostly_in(df: DataFrame, wanted: DataFrame) -> DataFrame:
     """
     bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
     part, position = F.bitmap_bucket_number(bit), F.bitmap_bit_position(bit)
-    bitmaps = wanted.select(part.alias("part"), position.alias("at")).groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
-    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright("__at", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    marked = df.withColumns({"__part": part, "__at": position}).join(F.broadcast(bitmaps), F.col("__part") == F.col("part"))
+    bitmaps = wanted.select(part.alias("__of"), position.alias("__in")).groupBy("__of").agg(F.bitmap_construct_agg("__in").alias("__bits"))
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.shiftright("__at", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    marked = df.withColumns({"__part": part, "__at": position}).join(F.broadcast(bitmaps), F.col("__part") == F.col("__of"))
     return marked.where(F.getbit(byte, (F.col("__at") % 8).cast("int")) == 1).select(*df.columns)
 
 
