@@ -10,7 +10,8 @@ def keep_first(df: DataFrame, keys: list[str | Column], order: list[Column | str
     """The first row of each key in the given order; a null key is a key like any other.
 
     One row per key survives the map side of the shuffle: the smallest order with its
-    row, so a key that a third of all rows share meets as one row per partition.
+    row, so a key that a third of all rows share meets as one row per partition.  Rows
+    travel with all their columns: select narrow ones and join texts afterwards.
     """
     columns = df.columns
     names = [f"__key{i}" for i in range(len(keys))]

@@ -27,18 +27,33 @@ def as_of(anchor: DataFrame, right: DataFrame, values: list[str], lag_days: int
     """anchor with the values of the latest right row of at most its date less lag_days.
 
     The newest row counts even where a value of it is null; `fill` then carries values
-    forward from anchor to anchor.  right must have one row per key and date.  One
-    shuffle and one sort: both sides are one stream, the right rows first on equal dates.
+    forward from anchor to anchor.  right must have one row per key and date.
     """
+    return as_of_many(anchor, [(right, values, lag_days)], keys, date, fill)
+
+
+def as_of_many(anchor: DataFrame, rights: list[tuple[DataFrame, list[str], int]], keys: list[str] | None = None, date: str = "date", fill: bool = True) -> DataFrame:
+    """as_of with several series of (rows, values, lag in days), each with its own lag.
+
+    One shuffle and one sort: all sides are one stream, the right rows first on equal
+    dates, and each series is carried along by itself.
+    """
+    if not rights:
+        return anchor
     keys = keys or []
-    held = F.struct(*[F.col(v).alias(v) for v in values])
-    r = right.select(*keys, F.date_add(date, lag_days).alias(date), held.alias("__held"), F.lit(0).alias("__side"), F.lit(None).cast(anchor.select(F.struct("*")).schema[0].dataType).alias("__row"))
-    l = anchor.select(*keys, date, F.lit(None).cast(r.schema["__held"].dataType).alias("__held"), F.lit(1).alias("__side"), F.struct(*[F.col(c) for c in anchor.columns]).alias("__row"))  # noqa: E741
+    held = [right.select(F.struct(*[F.col(v).alias(v) for v in values])).schema[0].dataType for right, values, _ in rights]
+    none = [F.lit(None).cast(kind).alias(f"__held{i}") for i, kind in enumerate(held)]
+    row = F.lit(None).cast(anchor.select(F.struct("*")).schema[0].dataType).alias("__row")
+    stream = anchor.select(*keys, date, *none, F.lit(1).alias("__side"), F.struct(*[F.col(c) for c in anchor.columns]).alias("__row"))
+    for i, (right, values, lag_days) in enumerate(rights):
+        own = F.struct(*[F.col(v).alias(v) for v in values]).alias(f"__held{i}")
+        stream = stream.unionByName(right.select(*keys, F.date_add(date, lag_days).alias(date), *none[:i], own, *none[i + 1 :], F.lit(0).alias("__side"), row))
     base = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     w = base.orderBy(date, "__side").rowsBetween(Window.unboundedPreceding, 0)
-    met = r.unionByName(l).withColumn("__met", F.last("__held", ignorenulls=True).over(w)).where("__side = 1")
-    out = met.select(*[F.col("__row")[c].alias(c) for c in anchor.columns], *[F.col("__met")[v].alias(v) for v in values])
-    return forward_fill(out, values, keys, date) if fill else out
+    met = stream.withColumns({f"__held{i}": F.last(f"__held{i}", ignorenulls=True).over(w) for i in range(len(rights))}).where("__side = 1")
+    wanted = [(i, v) for i, (_, values, _) in enumerate(rights) for v in values]
+    out = met.select(*[F.col("__row")[c].alias(c) for c in anchor.columns], *[F.col(f"__held{i}")[v].alias(v) for i, v in wanted])
+    return forward_fill(out, [v for _, v in wanted], keys, date) if fill else out
 
 
 def forward_fill(df: DataFrame, columns: list[str], keys: list[str] | None = None, date: str = "date") -> DataFrame:

@@ -146,9 +146,10 @@ def name_lookup_left_join(spark, sf_dir):
 _URL_SQL = """(SELECT row_id, source, lower(site) || CASE WHEN path = '' AND site <> '' THEN '/' ELSE path END || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS canonical FROM (
   SELECT row_id, source, regexp_extract(head, '^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)', 1) AS site,
          regexp_replace(substr(head, length(regexp_extract(head, '^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)', 1)) + 1), '/+$', '') AS path,
-         array_to_string(list_transform(list_sort(list_filter(list_transform(string_split(query, '&'), lambda p: lower(split_part(p, '=', 1)) || '=' || regexp_replace(p, '^[^=]*=?', '')),
-           lambda p: split_part(p, '=', 2) <> '' AND NOT regexp_matches(p, '^(gclid|fbclid|ref|ref_src)=') AND NOT regexp_matches(p, '^(utm_|mc_)'))),
-           lambda p: p), '&') AS q
+         array_to_string(list_transform(list_sort(list_filter(list_transform(string_split(query, '&'),
+           lambda p: {'k': lower(url_decode(replace(split_part(p, '=', 1), '+', ' '))), 'v': CASE WHEN contains(p, '=') THEN url_decode(replace(regexp_replace(p, '^[^=]*=', ''), '+', ' ')) ELSE '' END}),
+           lambda x: x.v <> '' AND NOT regexp_matches(x.k, '^(gclid|fbclid|ref|ref_src)$') AND NOT regexp_matches(x.k, '^(utm_|mc_)'))),
+           lambda x: replace(url_encode(x.k), '%20', '+') || '=' || replace(url_encode(x.v), '%20', '+')), '&') AS q
   FROM (SELECT row_id, source, split_part(u, '?', 1) AS head, regexp_extract(u, '^[^?]*\\?(.*)$', 1) AS query
         FROM (SELECT row_id, source, regexp_replace(trim(coalesce(url, '')), '#.*$', '') AS u FROM {table}))))"""
 
@@ -158,6 +159,14 @@ def canonicalize_url(spark, sf_dir):
     return read(spark, sf_dir, "objective_records").select("row_id", ident.canonicalize_url(F.col("url")).alias("canonical"))
 
 
+@query("SELECT row_id, canonical FROM " + _URL_SQL.replace("{table}", """(SELECT row_id, source, coalesce(url, 'https://A.example/x/') || '?Tiêu=' || replace(url_encode(coalesce(title, '')), '%20', '+') || '&utm_source=a&a=' || row_id || '&empty=&REF=1&b=%2F~*' AS url FROM news_articles)"""))
+def canonicalize_parameters(spark, sf_dir):
+    """Urls whose parameters are written with escapes: one writing of each, in order, without blank and tracking ones."""
+    title = F.url_encode(F.coalesce("title", F.lit("")))
+    url = F.concat(F.coalesce("url", F.lit("https://A.example/x/")), F.lit("?Tiêu="), title, F.lit("&utm_source=a&a="), F.col("row_id").cast("string"), F.lit("&empty=&REF=1&b=%2F~*"))
+    return read(spark, sf_dir, "news_articles").select("row_id", ident.canonicalize_url(url).alias("canonical"))
+
+
 @query("SELECT row_id, substr(sha1(coalesce(source || '|', '') || canonical), 1, 16) AS derived_id FROM " + _URL_SQL.replace("{table}", "objective_records"))
 def document_id(spark, sf_dir):
     return read(spark, sf_dir, "objective_records").select("row_id", ident.document_id(F.col("source"), F.col("url")).alias("derived_id"))
@@ -168,6 +177,14 @@ def short_id(spark, sf_dir):
     return read(spark, sf_dir, "news_articles").select("row_id", ident.short_id(F.col("url")).alias("derived_id"))
 
 
+@query("SELECT row_id, CASE WHEN row_id % 3 = 0 THEN '' ELSE '1882' || lpad(CAST(row_id AS VARCHAR), 14, '0') END AS number FROM news_articles")
+def article_number(spark, sf_dir):
+    """Numbers that close article urls; shorter ones and other endings give none."""
+    long = F.concat(F.lit("1882"), F.lpad(F.col("row_id").cast("string"), 14, "0"))
+    url = F.when(F.col("row_id") % 3 == 0, F.concat(F.lit("https://a.example/tin-188"), F.col("row_id").cast("string"), F.lit(".chn"))).otherwise(F.concat(F.lit("https://a.example/tin-moi-"), long, F.lit(".chn?a=1")))
+    return read(spark, sf_dir, "news_articles").select("row_id", ident.article_number(url).alias("number"))
+
+
 _SPACE = "[\\s\\x1c-\\x1f\\x85\\p{Z}]+"
 _NORM_SQL = f"trim(regexp_replace(regexp_replace(lower(nfc_normalize(coalesce(raw_text, ''))), '<[^>]+>', ' ', 'g'), '{_SPACE}', ' ', 'g'))"
 

@@ -63,9 +63,8 @@ def macro(anchor: DataFrame, dxy: DataFrame | None, fx: DataFrame | None, policy
     Rates published a day late are lagged, so that no day sees its own future.
     """
     out = anchor.select("date", *[F.col(c).alias(f"vni_{c}") for c in INDEX])
-    for right, lag in ((dxy, dxy_lag), (fx, 0), (policy, 0)):
-        if right is not None:
-            out = S.as_of(out, right, [c for c in right.columns if c != "date"], lag)
+    rights = [(r, [c for c in r.columns if c != "date"], lag) for r, lag in ((dxy, dxy_lag), (fx, 0), (policy, 0)) if r is not None]
+    out = S.as_of_many(out, rights)
     for c in FEATURES:
         if c not in out.columns and c in (*RATES, *POLICY, "usd_vnd_sell", "usd_vnd_buy", "usd_vnd_central"):
             out = out.withColumn(c, F.lit(None).cast("double"))

@@ -46,6 +46,13 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in found or [])
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a file or folder within its file system."""
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to)]
+    if not paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(*paths):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return bool(listed(spark, path))
 

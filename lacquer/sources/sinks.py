@@ -11,6 +11,8 @@ from string import Template
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import exists, listed, move
+
 
 def write_version(df: DataFrame, path: str, version: str) -> None:
     """df as one version of a table; writing a version again replaces it."""
@@ -30,6 +32,31 @@ def append_rows(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*[have.get(c, F.lit("")).alias(c) for c in columns]).write.mode("append").parquet(path)
 
 
+def merge_rows(df: DataFrame, path: str, keys: list[str], order: list[str]) -> None:
+    """Stored rows and new ones, the last in `order` per key, written as the table's next version.
+
+    Readers of the former version are not disturbed, and a run that fails leaves it in place.
+    """
+    from ..operators.dedup import keep_last
+
+    spark = df.sparkSession
+    stored = latest(spark, path).drop("version") if exists(spark, path) else df.limit(0)
+    number = max([int(p.rsplit("=", 1)[1]) for p in listed(spark, f"{path}/version=*")], default=0) + 1
+    write_version(keep_last(stored.unionByName(df, allowMissingColumns=True), keys, order), path, f"{number:08d}")
+
+
+def replace_with_backup(df: DataFrame, path: str, backup: str) -> None:
+    """Writes df beside the table, moves the table to `backup` and df into its place.  The backup must not exist yet."""
+    spark = df.sparkSession
+    if exists(spark, backup):
+        raise FileExistsError(backup)
+    fresh = f"{path.rstrip('/')}.new"
+    df.write.mode("overwrite").parquet(fresh)
+    if exists(spark, path):
+        move(spark, path, backup)
+    move(spark, fresh, path)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a byte order mark, written beside and then moved into place.
 

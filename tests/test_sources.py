@@ -241,6 +241,19 @@ def test_small_reports(spark, tmp_path):
     assert sinks.digest(rows, "D").split("\n")[0] == "# D" and "- 2024-01-02 a b" in sinks.digest(rows, "D")
 
 
+def test_tables_are_merged_and_replaced(spark, tmp_path):
+    path, row = str(tmp_path / "t"), lambda *r: spark.createDataFrame(r, "k string, n int")
+    sinks.merge_rows(row(("a", 1), ("b", 1)), path, ["k"], ["n"])
+    sinks.merge_rows(row(("b", 2), ("c", 1), ("a", 0)), path, ["k"], ["n"])
+    assert sorted((r["k"], r["n"]) for r in sinks.latest(spark, path).collect()) == [("a", 1), ("b", 2), ("c", 1)]
+    place, old = str(tmp_path / "p"), str(tmp_path / "old")
+    sinks.replace_with_backup(row(("a", 1)), place, old)
+    sinks.replace_with_backup(row(("b", 2)), place, old)
+    assert [r["k"] for r in spark.read.parquet(place).collect()] == ["b"] and [r["k"] for r in spark.read.parquet(old).collect()] == ["a"]
+    with pytest.raises(FileExistsError):
+        sinks.replace_with_backup(row(("c", 3)), place, old)
+
+
 def test_a_store_that_fails_ends_the_batch(spark, tmp_path):
     target = str(tmp_path / "stored")
     batch = spark.createDataFrame([("2024-01-02", 1), ("2024-01-03", 2)], "day string, n int")
