@@ -204,7 +204,12 @@ def rendered(text: str | None, without: frozenset[int] | set[int] = frozenset())
             end += 1
         done += aligned([_cells(x) for x in plain[at:end]]) if cells and end > at + 1 else plain[at:end]
         at = end
-    kept = [x for k, x in enumerate(done) if x.strip() not in ("", "•") or x == "" and k and done[k - 1] != ""]
+    kept: list[str] = []
+    for x in done:
+        if x.strip() == "•":  # an item that holds nothing visible
+            continue
+        if x.strip() or kept and kept[-1]:
+            kept.append(x if x.strip() else "")
     return "\n".join(kept).strip("\n")
 
 
@@ -224,6 +229,8 @@ FRAGMENT_ROWS, HEADING_ROWS = 4, 3
 #: Items of all sources that are sent to every task; beyond, lines are joined with them.
 #: A source has at most (lines of a row) / HEADING_SHARE of them.
 SENT = 200_000
+#: Characters and number of the lines whose verdict is remembered for a source.
+REMEMBERED, REMEMBERED_LINES = 120, 50_000
 #: Kinds of what is known of a source's lines.
 FRAGMENT, SENTENCE, HEADING, EDGE = 1, 2, 3, 4
 
@@ -236,25 +243,36 @@ def _core(line: str) -> str | None:
     return None
 
 
-def _line_items(s: str, text: str) -> set[tuple[int, str]]:
-    """(0, form) of the lines of a row and (1, core) of its headings, tags taken out, and (2, "") for the row.
+#: What the items of headings begin with, and the item of a row.
+_HEADING_ITEM, _ROW_ITEM = "\x01", "\x02"
+
+
+def _line_items(s: str, text: str) -> set[str]:
+    """Forms of the lines of a row and cores of its headings, tags taken out, and an item for the row.
 
     A row of one line has no page around it and counts for nothing.
     """
     if "<" in text:
         text = _TAG.sub("", text)
-    forms = {f for f in repeated.line_forms(text) if f}
-    if len(forms) < 2:
+    items = {f for f in repeated.line_forms(text) if f > "\x03"}  # neither empty nor like the other items
+    if len(items) < 2:
         return set()
-    items = {(0, f) for f in forms}
     for line in text.split("\n"):
-        line = line.rstrip()
-        if len(line) < 90 and line[-2:].isalnum() and line[-2:].upper() == line[-2:] and (core := _core(line.strip())):
-            items.add((1, core))
-    items.add((2, ""))
+        if len(line) < 90:
+            line = line.strip()
+            if line[-2:].isalnum() and line[-2:].upper() == line[-2:] and (core := _core(line)):
+                items.add(_HEADING_ITEM + core)
+    items.add(_ROW_ITEM)
     return items
 
 
+def _numbered(item: str) -> tuple[int, int]:
+    """(0, form), (1, core) or (2, row) of an item."""
+    if item[0] == _HEADING_ITEM:
+        return 1, _number(item[1:])
+    return (2, 0) if item == _ROW_ITEM else (0, _number(item))
+
+
 def _outline(form: str) -> int:
     """16 bits of a line that show without its form: number of words, first and last character."""
     a, b = ord(form[0]), ord(form[-1])
@@ -273,7 +291,7 @@ def known_lines(df: DataFrame, text: str, source: str) -> DataFrame:
     rows of several lines, so neither other sources nor the table's size matter.
     """
     schema = pa.schema([("s", pa.string()), ("heading", pa.int32()), ("item", pa.int64()), ("n", pa.int64())])
-    counted = repeated.counted_items(df, source, text, schema, ["heading", "item"], _line_items, lambda x: (x[0], _number(x[1]) if x[1] else 0))
+    counted = repeated.counted_items(df, source, text, schema, ["heading", "item"], _line_items, _numbered)
     counted = counted.where(F.col("n") >= min(FRAGMENT_ROWS, HEADING_ROWS)).checkpoint()  # read twice
     rows = counted.where("heading = 2").select("s", F.col("n").alias("rows"))
     share = F.col("n") / F.col("rows")
@@ -285,9 +303,10 @@ def known_lines(df: DataFrame, text: str, source: str) -> DataFrame:
 class Kinds:
     """What is known of one source's lines: {(heading, number): kind}, and the outlines of its forms."""
 
-    __slots__ = ("kinds", "outlines")
+    __slots__ = ("kinds", "outlines", "judged")
 
     def __init__(self, items=()):
+        self.judged: dict[str, tuple[str, str]] = {}  # short lines come again and again
         self.kinds = {(heading, item): kind for heading, item, kind in items}
         self.outlines = frozenset(item & 0xFFFF for heading, item in self.kinds if not heading)
 
@@ -326,16 +345,27 @@ def page_lines(text: str | None, title: str | None, kinds: Kinds | None = None,
     if not in_form:
         text, title = consistent_all([text, title or ""])
     seen = render(text) if "<" in text else [(n, s, False) for n, s in enumerate(text.split("\n"), 1)]
-    rows = [(n, s, _plain(s), h) for n, s, h in seen if s and not s.isspace()]
+    rows = [(n, s, h) for n, s, h in seen if s and not s.isspace()]
     if not rows:
         return []
     want = " ".join((title or "").lower().split()).rstrip(".")
-    kinds = kinds or Kinds()
-    judged = [_kind(plain, raw, hid, want, kinds) for _, raw, plain, hid in rows]
+    kinds, judged = kinds or Kinds(), []
+    remembered = kinds.judged
+    for _, raw, hidden in rows:
+        known = remembered.get(raw)
+        if known is None:
+            plain = _plain(raw)
+            low = plain.lower()
+            known = (low.rstrip("."), _kind(plain, low, raw, kinds))
+            if len(raw) < REMEMBERED:
+                if len(remembered) > REMEMBERED_LINES:
+                    remembered.clear()
+                remembered[raw] = known
+        judged.append("page" if hidden else "own" if want and known[0] == want else known[1])
     for k in range(len(rows) - 1):  # a bar above a table row of as many cells is its header
         if judged[k] == "bar":
-            cells = rows[k][2].count(" | ")
-            judged[k] = "own" if cells and judged[k + 1] == "own" and rows[k + 1][2].count(" | ") == cells else "page"
+            cells = _plain(rows[k][1]).count(" | ")
+            judged[k] = "own" if cells and judged[k + 1] == "own" and _plain(rows[k + 1][1]).count(" | ") == cells else "page"
     judged[-1] = "page" if judged[-1] == "bar" else judged[-1]
     judged = ["page" if x == "edge" and not k else "short" if x == "edge" else x for k, x in enumerate(judged)]
     if len(rows) == 1:
@@ -360,13 +390,8 @@ def _plain(line: str) -> str:
     return line.strip()
 
 
-def _kind(line: str, raw: str, hidden: bool, title: str, kinds: Kinds) -> str:
+def _kind(line: str, low: str, raw: str, kinds: Kinds) -> str:
     """page, own, bar (of short items), short (could be a heading), edge (short and known) or open (unfinished, as teasers are)."""
-    if hidden:
-        return "page"
-    low = line.lower()
-    if title and len(low) < len(title) + 3 and low.rstrip(".") == title:
-        return "own"
     if ("▲" in line or "▼" in line or "%" in line) and _QUOTE_MOVE.match(line):
         return "page"
     bar = line.find("|")

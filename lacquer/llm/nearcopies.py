@@ -64,7 +64,8 @@ def words_of(title: str | None, text: str | None, drop_lines: Dropper, context:
     return _WORD.findall(own_text(*consistent_all([title or "", text or ""]), drop_lines, context).replace("_", " "))
 
 
-_LETTER = np.array([chr(c).isalnum() for c in range(0x30000)])
+_LETTER = np.zeros(0x110000, bool)
+_LETTER[:0x40000] = [chr(c).isalnum() for c in range(0x40000)]
 _POWERS = np.cumprod(np.full(4096, _MIX[0], np.uint64))
 
 
@@ -76,7 +77,7 @@ def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     sizes = np.zeros(len(texts), np.int64)
     codes = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    inside = _LETTER[np.minimum(codes, len(_LETTER) - 1)]
+    inside = _LETTER[codes]
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if len(inside) and inside[0]:
         edges = np.concatenate([[0], edges])

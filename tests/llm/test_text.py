@@ -76,6 +76,7 @@ def test_page_lines():
     assert mainbody.page_lines("Thông báo về cổ tức theo công văn số 5", None, kinds) == []
     for empty in (None, "", " \n\t"):
         assert mainbody.page_lines(empty, None, kinds) == []
+    assert mainbody._line_items("s", "\x01\n\x02\nmột\nhai") == {"một", "hai", "\x02"} and mainbody.page_lines("\x01\n\x02\nmột", "t", kinds) is not None
     assert mainbody.page_lines("Một câu dài. " * 30_000, "t", kinds) == []
     table = "Câu đầu của bài viết dài hơn.\nChỉ tiêu | Năm nay | Năm trước\nDoanh thu | 12 | 14\nCâu cuối của bài viết."
     assert mainbody.page_lines(table, "t") == []  # a bar above a table row is its header
