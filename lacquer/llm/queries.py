@@ -137,13 +137,14 @@ def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that are excessive within their source."""
-    return repeated.repeated_lines(_table(spark, sf_dir, "news_articles"), "row_id", "source", "body")
+    """Lines that are excessive within their source: led to its templates, and of those to the ones without word slots."""
+    return repeated.repeated_lines(_table(spark, sf_dir, "news_articles"), "row_id", "source", "body", alike=repeated.ALIKE, same_text=True)
 
 
 def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies without the lines that are excessive within their source."""
-    return repeated.without_repeated_lines(_table(spark, sf_dir, "news_articles"), "row_id", "source", "body").select("row_id", "clean_text")
+    clean = repeated.without_repeated_lines(_table(spark, sf_dir, "news_articles"), "row_id", "source", "body", alike=repeated.ALIKE, same_text=True)
+    return clean.select("row_id", "clean_text")
 
 
 def p4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

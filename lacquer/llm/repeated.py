@@ -1,15 +1,17 @@
 """Lines repeated across the documents of one source.
 
 Method: lines run down a fixed-depth token tree: number of tokens, then the first
-tokens; digit runs are slots, written 0.  A leaf holds the forms that reach it.  Every
-partition grows trees of its own, a row counting a form once, and the trees are merged
-by adding counts, so the largest source needs no special care.  A form that covers too
-many rows of its source is a template, and its lines are removed.
-
-With `alike` below 1 a leaf also has slots for words: within a leaf a token that
-enough rows have at a position stays, any other becomes the slot "*".  Each constant
-of a template covers at least the rows of the template, so none is missed.  A template
-counts if it covers enough rows and at least that share of its tokens is constant.
+tokens; digit runs are slots, written 0.  Every partition grows trees of its own, a row
+counting an item once, and the trees are merged by adding counts, so the largest source
+needs no special care.  A tree is grown level by level over all rows: first leaves; then,
+in leaves that enough rows reach, tokens by position: one that enough rows have there is
+a constant, any other becomes the word slot "*"; then the templates so made.  A template
+is one if at least a share `alike` of its tokens is constant; those that enough rows have
+are kept, and a line is found if the tree leads it to a kept template.
+
+Each leaf and each constant of a template covers at least the rows of the template, so
+none is missed.  A template without word slots is the text of its lines: its rows are
+those that have this very text, which is the rule of SQL for p4_found (`same_text`).
 """
 
 from __future__ import annotations
@@ -28,11 +30,15 @@ from xxhash import xxh3_64_intdigest
 
 #: Token levels of the tree below the number of tokens.
 DEPTH = 2
+#: Least share of constants among the tokens of a template with word slots.
+ALIKE = 0.6
 #: Forms that one tree holds before it is given out.
 HELD = 200_000
-#: Templates sent to every task; beyond, lines are joined with them over SALTS parts of each source.
-#: A source has at most (lines of a row) / min_share templates.
+#: Leaves, constants and templates sent to every task; beyond, forms are counted whole and lines are joined with them
+#: over SALTS parts of each source.  A source has at most (lines, or tokens, of a row) / min_share of them.
 SENT, SALTS = 200_000, 32
+#: Forms whose template a task remembers.
+REMEMBERED = 50_000
 WHITE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 DIGITS = re.compile("[0-9]+")
 #: White space other than the plain space and the line break; most texts have none.
@@ -58,9 +64,14 @@ def number(s: str) -> int:
     return n - (1 << 64) if n >> 63 else n
 
 
+def leaf_path(form: str, depth: int) -> str:
+    """The way a form goes: its number of tokens and its first `depth` tokens."""
+    return " ".join([str(form.count(" ") + 1), *form.split(" ", depth)[:depth]])
+
+
 def leaf_of(form: str, depth: int) -> int:
-    """The leaf a form reaches: hash of its number of tokens and its first `depth` tokens."""
-    return number(" ".join([str(form.count(" ") + 1), *form.split(" ", depth)[:depth]]))
+    """The leaf a form reaches: hash of its way."""
+    return number(leaf_path(form, depth))
 
 
 def source_of(source: str) -> Column:
@@ -106,22 +117,29 @@ def _schema(**fields: pa.DataType) -> pa.Schema:
     return pa.schema([("s", pa.string()), *fields.items(), ("n", pa.int64())])
 
 
-def forms_of_sources(df: DataFrame, source: str, text: str, depth: int = DEPTH) -> DataFrame:
-    """(s, leaf, form, n): the merged trees; forms as hashes."""
-    items = lambda s, t: {f for f in line_forms(t) if f}
-    return counted_items(df, source, text, _schema(leaf=pa.int64(), form=pa.int64()), ["leaf", "form"], items, lambda f: (leaf_of(f, depth), number(f)))
+def leaves_of_sources(df: DataFrame, source: str, text: str, depth: int = DEPTH) -> DataFrame:
+    """(s, leaf, n): rows of a source that reach a leaf."""
+    items = lambda s, t: {leaf_path(f, depth) for f in line_forms(t) if f}
+    return counted_items(df, source, text, _schema(leaf=pa.int64()), ["leaf"], items, lambda path: (number(path),))
+
 
+def rows_of_sources(df: DataFrame, source: str) -> DataFrame:
+    """(s, rows): all rows of a source count, blank ones too."""
+    return df.groupBy(source_of(source).alias("s")).agg(F.count(F.lit(1)).alias("rows")).checkpoint()
 
-def _enough(counted: DataFrame, df: DataFrame, source: str, min_rows: int, min_share: float) -> DataFrame:
-    """What enough rows of its source have; all rows of a source count, blank ones too."""
-    rows = df.groupBy(source_of(source).alias("s")).agg(F.count(F.lit(1)).alias("rows"))
+
+def _enough(counted: DataFrame, rows: DataFrame, min_rows: int, min_share: float) -> DataFrame:
+    """What enough rows of its source have."""
     return counted.join(rows, "s").where(F.col("n") >= F.greatest(F.lit(float(min_rows)), F.col("rows") * F.lit(min_share) - 1e-9)).drop("rows")
 
 
-def with_slots(form: str, leaf: int, constants: set, alike: float) -> str | None:
-    """The template of a form in a leaf, None if too few of its tokens are constants."""
-    tokens = [w if (leaf, i, number(w)) in constants else "*" for i, w in enumerate(form.split(" "))]
-    return " ".join(tokens) if tokens.count("*") <= (1 - alike) * len(tokens) + 1e-9 else None
+def with_slots(form: str, leaf: int, constants: set, alike: float) -> tuple[str, int] | None:
+    """The template of a form in a leaf and its number of word slots, None if too few of its tokens are constants."""
+    tokens, slots = form.split(" "), 0
+    for i, w in enumerate(tokens):
+        if (leaf, i, number(w)) not in constants:
+            tokens[i], slots = "*", slots + 1
+    return (" ".join(tokens), slots) if slots <= (1 - alike) * len(tokens) + 1e-9 else None
 
 
 def _sets(rows: list, *names: str) -> dict[str, set]:
@@ -131,11 +149,15 @@ def _sets(rows: list, *names: str) -> dict[str, set]:
     return dict(out)
 
 
+class TooMany(ValueError):
+    """More leaves, constants or templates than are sent to tasks."""
+
+
 def _few(df: DataFrame, what: str) -> list:
     """Rows for the driver, refused beyond SENT."""
     rows = df.take(SENT + 1)
     if len(rows) > SENT:
-        raise ValueError(f"more than {SENT} {what}; raise min_share or min_rows")
+        raise TooMany(f"more than {SENT} {what}; raise min_share or min_rows")
     return rows
 
 
@@ -144,56 +166,66 @@ class Slots:
 
     def __init__(self, leaves: dict[str, set], constants: dict[str, set], depth: int, alike: float):
         self.leaves, self.constants, self.depth, self.alike = leaves, constants, depth, alike
-
-    def templates(self, s: str, forms: list[str]) -> list[str | None]:
-        leaves, constants = self.leaves.get(s), self.constants.get(s)
-        if not leaves or not constants:
-            return [None] * len(forms)
-        at = [leaf_of(f, self.depth) if f else None for f in forms]
-        return [with_slots(f, leaf, constants, self.alike) if leaf in leaves else None for f, leaf in zip(forms, at)]
-
-
-def word_slots(df: DataFrame, source: str, text: str, forms: DataFrame, min_rows: int, min_share: float, depth: int, alike: float) -> Slots:
+        self.remembered: dict[tuple[str, str], tuple[str, int] | None] = {}
+
+    def template(self, s: str, form: str) -> tuple[str, int] | None:
+        """The template the tree leads a form to and its number of word slots, None if to none."""
+        leaves = self.leaves.get(s)
+        if not leaves or (leaf := leaf_of(form, self.depth)) not in leaves:
+            return None
+        known = self.remembered
+        if (s, form) not in known:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            known[s, form] = with_slots(form, leaf, self.constants.get(s, frozenset()), self.alike)
+        return known[s, form]
+
+    def templates(self, s: str, text: str) -> set[tuple[str, int]]:
+        """The templates of a row's lines."""
+        return {x for f in set(line_forms(text)) if f and (x := self.template(s, f))}
+
+
+def word_slots(df: DataFrame, source: str, text: str, rows: DataFrame, min_rows: int, min_share: float, depth: int, alike: float) -> Slots:
     """Slots from two counts over all rows: leaves, then tokens by position in the leaves that are full enough."""
-    full = _enough(forms.groupBy("s", "leaf").agg(F.sum("n").alias("n")), df, source, min_rows, min_share)
+    full = _enough(leaves_of_sources(df, source, text, depth), rows, min_rows, min_share)
     leaves = _sets(_few(full, "leaves"), "leaf")
 
     def tokens(s: str, t: str) -> set:
         own, out = leaves.get(s, ()), set()
-        for f in set(line_forms(t)):
+        for f in set(line_forms(t)) if own else ():
             if f and (leaf := leaf_of(f, depth)) in own:
                 out.update((leaf, i, w) for i, w in enumerate(f.split(" ")))
         return out
 
     counted = counted_items(df, source, text, _schema(leaf=pa.int64(), at=pa.int32(), token=pa.int64()), ["leaf", "at", "token"], tokens, lambda x: (x[0], x[1], number(x[2])))
-    return Slots(leaves, _sets(_few(_enough(counted, df, source, min_rows, min_share), "constant tokens"), "leaf", "at", "token"), depth, alike)
+    return Slots(leaves, _sets(_few(_enough(counted, rows, min_rows, min_share), "constant tokens"), "leaf", "at", "token"), depth, alike)
 
 
-def line_templates(df: DataFrame, source: str, text: str, min_rows: int = 4, min_share: float = 0.05, alike: float = 0.6, depth: int = DEPTH) -> DataFrame:
+def line_templates(df: DataFrame, source: str, text: str, min_rows: int = 4, min_share: float = 0.05, alike: float = ALIKE, depth: int = DEPTH) -> DataFrame:
     """(source, template, rows): templates that enough rows of a source have, with slots "0" for digits and "*" for words.
 
     A row counts a template once.  A null source gives null.
     """
-    slots = word_slots(df, source, text, forms_of_sources(df, source, text, depth), min_rows, min_share, depth, alike)
-    items = lambda s, t: {x for x in slots.templates(s, line_forms(t)) if x}
+    rows = rows_of_sources(df, source)
+    slots = word_slots(df, source, text, rows, min_rows, min_share, depth, alike)
+    items = lambda s, t: {x for x, _ in slots.templates(s, t)}
     counted = counted_items(df, source, text, _schema(template=pa.string()), ["template"], items, lambda x: (x,))
-    kept = _enough(counted, df, source, min_rows, min_share)
+    kept = _enough(counted, rows, min_rows, min_share)
     return kept.select(F.nullif(F.col("s"), F.lit("\x00null")).alias("source"), "template", F.col("n").alias("rows"))
 
 
-def _marker(found: dict[str, set], slots: Slots | None, templates: dict[str, set]):
+def _marker(slots: Slots | None, kept: dict[str, set]):
+    """Lines that are led to a kept template (hash, word slots); without slots every form is its own template."""
+
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def mark(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        hashed = lru_cache(100_000)(number)
+        @lru_cache(100_000)
+        def hit(s: str, form: str) -> bool:
+            x = slots.template(s, form) if slots else (form, 0)
+            return x is not None and (number(x[0]), x[1]) in kept[s]
+
         for sources, texts in batches:
-            out = []
-            for s, t in zip(sources, texts):
-                forms = line_forms(t) if t else []
-                own = found.get(s, ())
-                hits = {n for n, f in enumerate(forms, 1) if f and hashed(f) in own} if own else set()
-                if slots and s in templates:
-                    hits |= {n for n, x in enumerate(slots.templates(s, forms), 1) if x in templates[s]}
-                out.append(sorted(hits))
+            out = [[n for n, f in enumerate(line_forms(t), 1) if f and hit(s, f)] if t and s in kept else [] for s, t in zip(sources, texts)]
             yield pd.Series(out, dtype=object)
 
     return mark
@@ -208,30 +240,34 @@ def _joined(df: DataFrame, key: str, source: str, text: str, forms: DataFrame) -
     return lines.join(spread, ["s", "form", "salt"], "left_semi").select(F.col("k").alias(key), (F.col("n") + 1).alias("line_no"))
 
 
-def repeated_line_numbers(df: DataFrame, source: str, text: str, min_rows: int = 4, min_share: float = 0.05, alike: float = 1.0, depth: int = DEPTH) -> Column | DataFrame:
-    """Column of array<int>: the repeated lines of each row; beyond SENT forms the (s, form) table to join with."""
-    forms = forms_of_sources(df, source, text, depth)
-    if alike < 1:  # read twice: for whole forms and for leaves
-        forms = forms.checkpoint()
-    excessive = _enough(forms, df, source, min_rows, min_share).select("s", "form").checkpoint()
-    rows = excessive.take(SENT + 1)
-    slots, templates = None, {}
-    if alike < 1:
-        slots = word_slots(df, source, text, forms, min_rows, min_share, depth, alike)
-        items = lambda s, t: {x for x in slots.templates(s, line_forms(t)) if x}
-        counted = counted_items(df, source, text, _schema(template=pa.string()), ["template"], items, lambda x: (x,))
-        templates = _sets(_few(_enough(counted, df, source, min_rows, min_share), "templates"), "template")
-    if len(rows) > SENT:
-        if alike < 1:
-            raise ValueError(f"more than {SENT} templates; raise min_share or min_rows")
-        return excessive
-    return _marker(_sets(rows, "form"), slots, templates)(source_of(source), F.col(text).cast("string"))
+def repeated_line_numbers(df: DataFrame, source: str, text: str, min_rows: int = 4, min_share: float = 0.05, alike: float = 1.0, depth: int = DEPTH, same_text: bool = False) -> Column | DataFrame:
+    """Column of array<int>: the repeated lines of each row; beyond SENT templates the (s, form) table to join with."""
+    rows = rows_of_sources(df, source)
+    worded = alike < 1 and not same_text
+    try:
+        slots = word_slots(df, source, text, rows, min_rows, min_share, depth, alike)
+    except TooMany:  # a tree too large to send leaves out no text that enough rows have: they are counted without it
+        if worded:
+            raise
+        slots = None
+    items = lambda s, t: slots.templates(s, t) if slots else {(f, 0) for f in line_forms(t) if f}
+    counted = counted_items(df, source, text, _schema(form=pa.int64(), slots=pa.int32()), ["form", "slots"], items, lambda x: (number(x[0]), x[1]))
+    kept = _enough(counted, rows, min_rows, min_share).select("s", "form", "slots")
+    kept = (kept if worded else kept.where(F.col("slots") == 0)).checkpoint()
+    try:
+        sent = _few(kept, "templates")
+    except TooMany:
+        if worded:
+            raise
+        return kept.select("s", "form")
+    return _marker(slots, _sets(sent, "form", "slots"))(source_of(source), F.col(text).cast("string"))
 
 
 def repeated_lines(df: DataFrame, key: str, source: str, text: str, **limits) -> DataFrame:
-    """(key, line_no) of each line whose form occurs in at least min_rows (4) rows of its
-    source and at least min_share (0.05) of all rows of that source; with `alike` below 1
-    also of each line whose template with word slots does.
+    """(key, line_no) of each line whose template occurs in at least min_rows (4) rows of its
+    source and at least min_share (0.05) of all rows of that source.  With `alike` at 1 or
+    `same_text` these are the lines whose whole form does; with `alike` below 1 alone also
+    those whose template has word slots.
 
     Rows with null or blank text count as rows.  A null source is a source of its own.
     Rows that repeat a key count once each.  Blank lines are never found.  An empty

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lacquer.llm import cutoff, mainbody, mojibake, repeated, textform
+from lacquer.llm import cutoff, mainbody, mojibake, queries, repeated, textform
 
 VI = "Ngân hàng Thương mại Cổ phần báo cáo lợi nhuận sau thuế tăng trưởng vượt kế hoạch đề ra của Hội đồng quản trị"
 
@@ -256,6 +256,27 @@ def test_templates_with_word_slots(spark):
     assert repeated.line_templates(df.limit(0), "source", "body").count() == 0
 
 
+def test_p4_rows_come_from_the_tree(spark, tmp_path, monkeypatch):
+    """p4_found learns word slots, finds no line that the tree does not lead to a template, and keeps to equal texts."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdeghiklmnopqrstuvxy", k=6))
+    lines = lambda k: [f"Theo dõi báo cùng {word()} trên ứng dụng", f"Theo dõi báo cùng {'Lam' if k % 9 else word()} ở {k}  nơi", "* * *", f"* * {word()}", word()]
+    rows = [(k, ("s", "t", None)[k % 3], "\n".join(rng.sample(lines(k), 4))) for k in range(120)] + [(200, "s", None), (201, "u", "* * *")]
+    spark.createDataFrame(rows, "row_id long, source string, body string").repartition(3).write.parquet(f"{tmp_path}/news_articles.parquet")
+    found = lambda: sorted(tuple(r) for r in queries.p4_found(spark, str(tmp_path)).collect())
+    learned, real = [], repeated.word_slots
+    monkeypatch.setattr(repeated, "word_slots", lambda *a: learned.append(real(*a)) or learned[-1])
+    want = sorted(brute_repeated(rows))
+    assert found() == want and len(want) > 100
+    assert learned and {x for k, s, t in rows if t for x in learned[0].templates(s, t)} >= {("theo dõi báo cùng * trên ứng dụng", 1), ("theo dõi báo cùng lam ở 0 nơi", 0), ("* * *", 0), ("* * *", 1)}
+    for sent in (0, 3, 8, 40):  # leaves, constants or templates that are too many to send
+        monkeypatch.setattr(repeated, "SENT", sent)
+        assert found() == want
+    monkeypatch.setattr(repeated, "SENT", 200_000)
+    monkeypatch.setattr(repeated, "word_slots", lambda *a: repeated.Slots({}, {}, repeated.DEPTH, repeated.ALIKE))
+    assert found() == []
+
+
 # cut-off ends
 
 
